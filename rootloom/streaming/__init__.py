@@ -1,0 +1 @@
+"""The covered workload is batch only, so there are no streaming jobs here."""
