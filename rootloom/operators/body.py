@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.functions import best_text, first_label, fix_ocr, none_if_blank, strip_ws
+from rootloom.functions import best_text, first_label, fix_ocr, none_if_blank, once, strip_ws
 from rootloom.rules.model import DiscoursePack
 
 CUT, TAG = "\u0001", "\u0002"
@@ -84,15 +84,16 @@ def segment_arrays(bodies: DataFrame, pack: DiscoursePack, body: str = "body") -
         F.when(s["raw_marker"] == "", "CONTINUATION").otherwise(marker_type(s["raw_marker"], pack)).alias("type"),
         strip_ws(s["raw_marker"]).alias("marker"), s["text"].alias("text")))
     first = F.array_position(F.transform("segments", lambda s: s["type"]), F.lit("SECOND_ORIG")) - 1
-    return (bodies.withColumn("_pieces", pieces).withColumn("segments", typed)
+    cut_up = once(bodies.withColumn("_pieces", pieces), "_pieces")
+    return (once(cut_up.withColumn("segments", typed), "segments")
             .withColumn("boundary_pos", F.when(first >= 0, first)).drop("_pieces"))
 
 
 def segment_body(bodies: DataFrame, pack: DiscoursePack, body: str = "body") -> DataFrame:
     """Long form (entry_id, pos, segment_type, marker, text, origin_index)."""
     arrays = segment_arrays(bodies.select("entry_id", body), pack, body)
-    rows = arrays.select("entry_id", "boundary_pos", F.posexplode("segments").alias("pos", "s"))
-    return rows.select("entry_id", "pos", F.col("s.type").alias("segment_type"), F.col("s.marker").alias("marker"),
+    rows = arrays.select("entry_id", "boundary_pos", F.posexplode_outer("segments").alias("pos", "s"))
+    return rows.where(F.col("s").isNotNull()).select("entry_id", "pos", F.col("s.type").alias("segment_type"), F.col("s.marker").alias("marker"),
                        F.col("s.text").alias("text"), origin_index(F.col("pos"), F.col("boundary_pos"))
                        .alias("origin_index"))
 

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.functions import first_label, normalize, strip_ws
+from rootloom.functions import first_label, normalize, once, strip_ws
 from rootloom.rules.model import ClaimRule, DiscoursePack
 
 DEFAULT_CLAIM = {"SECOND_ORIG": "ORIGIN_BOUNDARY", "BRANCH": "BRANCH_ITEM", "EXCEPTION": "EXCEPTION_NOTE",
@@ -57,8 +55,8 @@ def extract_claims(segments: DataFrame, pack: DiscoursePack) -> DataFrame:
         fallback = F.when(F.col("segment_type") == segment, claim).otherwise(fallback)
     null = F.lit(None).cast("string")
     hadith = F.when(F.col("segment_type") == "HADITH", F.substring("text", 1, 200))
-    return (segments.withColumn("full", full).withColumn("rule", no)
-            .withColumn("claim_type", by_rule(lambda r: F.lit(r.claim_type), fallback))
+    ruled = once(once(segments.withColumn("full", full), "full").withColumn("rule", no), "rule")
+    return (ruled.withColumn("claim_type", by_rule(lambda r: F.lit(r.claim_type), fallback))
             .withColumn("term", by_rule(lambda r: group(r, r.term_group) if r.term_group else None, null))
             .withColumn("definition", by_rule(
                 lambda r: group(r, r.definition_group, r.definition_limit) if r.definition_group else None, hadith))
@@ -106,44 +104,62 @@ def authority_nodes(claims: DataFrame, pack: DiscoursePack) -> DataFrame:
     return _distinct_nodes(claims, "authority", "AUTH", pack)
 
 
-def evidence_nodes(nodes: DataFrame, pack: DiscoursePack) -> DataFrame:
-    """From ``claim_nodes``: hadith, and citations of scholars or of the Arabs."""
+def _is_evidence() -> Column:
+    """Hadith, and citations of scholars or of the Arabs."""
     kind = F.col("claim_type")
-    cited = (kind == "AUTHORITY_CITATION") & F.col("claim_attribution").isin("QUOTED_SCHOLAR", "ARABS_GENERAL")
-    usage = F.when(kind == "HADITH_EVIDENCE", "HADITH").otherwise(
+    return (kind == "HADITH_EVIDENCE") | ((kind == "AUTHORITY_CITATION") & F.col("claim_attribution").isin(
+        "QUOTED_SCHOLAR", "ARABS_GENERAL"))
+
+
+def _usage_type(pack: DiscoursePack) -> Column:
+    return F.when(F.col("claim_type") == "HADITH_EVIDENCE", "HADITH").otherwise(
         first_label(F.col("raw_text"), pack.usage_cues, "ARAB_SPEECH"))
+
+
+def _strength(usage: Column) -> Column:
+    return F.when(usage.isin("QURANIC", "HADITH"), "DIRECT").otherwise("SUPPORTING")
+
+
+def evidence_nodes(nodes: DataFrame, pack: DiscoursePack) -> DataFrame:
+    """From ``claim_nodes``: one evidence node per claim that cites a witness."""
     shown = F.when(F.coalesce("definition", F.lit("")) != "", F.col("definition")).otherwise(F.col("raw_text"))
-    return (nodes.where((kind == "HADITH_EVIDENCE") | cited)
+    return (nodes.where(_is_evidence())
             .select(node_id("EV", F.col("entry_id"), F.col("pos")).alias("node_id"), "entry_id", "claim_id",
-                    F.substring(shown, 1, EVIDENCE_TEXT).alias("text"), usage.alias("usage_type"),
-                    F.when(kind == "HADITH_EVIDENCE", "DEMONSTRATES_USAGE").otherwise("DEMONSTRATES_SENSE")
-                    .alias("witness_function"),
+                    F.substring(shown, 1, EVIDENCE_TEXT).alias("text"), _usage_type(pack).alias("usage_type"),
+                    F.when(F.col("claim_type") == "HADITH_EVIDENCE", "DEMONSTRATES_USAGE")
+                    .otherwise("DEMONSTRATES_SENSE").alias("witness_function"),
                     F.col("raw_text").rlike(pack.poetry_cue).alias("is_embedded_poetry"))
-            .withColumn("evidence_strength", F.when(F.col("usage_type").isin("QURANIC", "HADITH"), "DIRECT")
-                        .otherwise("SUPPORTING")))
+            .withColumn("evidence_strength", _strength(F.col("usage_type"))))
 
 
-def edge(df: DataFrame, kind: str, source: Column, target: Column, **meta: Column) -> DataFrame:
+def edge_struct(kind: str, source: Column, target: Column, **meta: Column) -> Column:
     pairs = [x for k, v in meta.items() for x in (F.lit(k), v.cast("string"))]
     empty = F.create_map().cast("map<string,string>")
-    return df.select("entry_id", F.lit(kind).alias("edge_type"), source.alias("source_id"),
-                     target.alias("target_id"), (F.create_map(*pairs) if pairs else empty).alias("meta"))
+    return F.struct(F.lit(kind).alias("edge_type"), source.alias("source_id"), target.alias("target_id"),
+                    (F.create_map(*pairs) if pairs else empty).alias("meta"))
 
 
-def claim_edges(nodes: DataFrame, evidence: DataFrame, pack: DiscoursePack) -> DataFrame:
-    """All edges follow from ids that both ends derive, so no node join is needed."""
+def edge(df: DataFrame, kind: str, source: Column, target: Column, **meta: Column) -> DataFrame:
+    return df.select("entry_id", edge_struct(kind, source, target, **meta).alias("e")).select("entry_id", "e.*")
+
+
+def claim_edges(nodes: DataFrame, pack: DiscoursePack) -> DataFrame:
+    """From ``claim_nodes``: all edges of a claim leave its own row in one pass,
+    because both ends of an edge derive their ids from the same values."""
     def to(prefix: str, value: str) -> Column:
         return node_id(prefix, F.col("entry_id"), normalize(F.col(value), pack.term_profile))
-    claim = F.col("claim_id")
-    about = edge(nodes.where(F.coalesce("term", F.lit("")) != ""), "CLAIM_ABOUT", claim, to("TRM", "term"))
-    said = edge(nodes.where(F.coalesce("authority", F.lit("")) != ""), "ATTRIBUTED_TO", claim,
-                to("AUTH", "authority"))
-    chained = nodes.where((F.col("claim_type") == "RAW_SEGMENT") & (F.col("segment_type") == "CONTINUATION")
-                          & (F.col("pos") > 0))
-    elaborates = edge(chained, "ELABORATES", claim, node_id("CLM", F.col("entry_id"), F.col("pos") - 1))
-    support = edge(evidence, "SUPPORTED_BY", F.col("node_id"), claim,
-                   evidence_strength=F.col("evidence_strength"))
-    return reduce(DataFrame.unionByName, [about, said, elaborates, support])
+
+    def given(name: str) -> Column:
+        return F.coalesce(name, F.lit("")) != ""
+    claim, at = F.col("claim_id"), (F.col("entry_id"), F.col("pos"))
+    chained = (F.col("claim_type") == "RAW_SEGMENT") & (F.col("segment_type") == "CONTINUATION") & (F.col("pos") > 0)
+    edges = F.array_compact(F.array(
+        F.when(given("term"), edge_struct("CLAIM_ABOUT", claim, to("TRM", "term"))),
+        F.when(given("authority"), edge_struct("ATTRIBUTED_TO", claim, to("AUTH", "authority"))),
+        F.when(chained, edge_struct("ELABORATES", claim, node_id("CLM", at[0], at[1] - 1))),
+        F.when(_is_evidence(), edge_struct("SUPPORTED_BY", node_id("EV", *at), claim,
+                                           evidence_strength=_strength(_usage_type(pack))))))
+    return nodes.select("entry_id", F.inline_outer(edges)).where(F.col("edge_type").isNotNull())
 
 
 def claims_by_type(claims: DataFrame) -> DataFrame:

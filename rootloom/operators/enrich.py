@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.functions import normalize, strip_ws
+from rootloom.functions import normalize, once, strip_ws
 from rootloom.rules.model import OriginPack, OriginRule
 from rootloom.rules.vocab import ATTRIBUTION_DIRECT
 
@@ -59,8 +59,9 @@ def _by_rule(rule: Column, pack: OriginPack, value, default: Column) -> Column:
 def classify_origin(entries: DataFrame, pack: OriginPack, body: str = "body_text") -> DataFrame:
     """Adds ``after``, ``origin_rule``, ``entry_type``, ``axes_count``."""
     rule = F.col("origin_rule")
-    return (entries.withColumn("after", strip_letter_chain(F.coalesce(F.col(body), F.lit("")), pack))
-            .withColumn("origin_rule", origin_rule(F.col("after"), pack))
+    df = once(entries.withColumn("after", strip_letter_chain(F.coalesce(F.col(body), F.lit("")), pack)), "after")
+    df = once(df.withColumn("origin_rule", origin_rule(F.col("after"), pack)), "origin_rule")
+    return (df
             .withColumn("entry_type", _by_rule(rule, pack, lambda r: F.lit(r.entry_type), F.lit("UNKNOWN")))
             .withColumn("axes_count", _by_rule(rule, pack, lambda r: F.lit(r.axes_count), F.lit(None))))
 
@@ -70,8 +71,8 @@ def extract_axes(entries: DataFrame, pack: OriginPack) -> DataFrame:
     none = F.array().cast("array<string>")
     texts = _by_rule(F.col("origin_rule"), pack,
                      lambda r: _axis_texts(F.col("after"), r) if r.groups else None, none)
-    return entries.withColumn("semantic_axes", F.transform(texts, lambda t: F.struct(
-        t.alias("text"), F.lit(ATTRIBUTION_DIRECT).alias("attribution"))))
+    return once(entries.withColumn("semantic_axes", F.transform(texts, lambda t: F.struct(
+        t.alias("text"), F.lit(ATTRIBUTION_DIRECT).alias("attribution")))), "semantic_axes")
 
 
 def quoted_authorities(body: Column, pack: OriginPack) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.functions import checksum, first_label, normalize, root_profile, strip_ws, volume_number
+from rootloom.functions import checksum, first_label, normalize, once, root_profile, strip_ws, volume_number
 from rootloom.operators.body import body_line_refs, ordered_text
 from rootloom.rules import vocab as V
 from rootloom.rules.model import DiscoursePack, Profile
@@ -113,7 +113,8 @@ def source_bundles(entries: DataFrame, evidence: DataFrame, pack: DiscoursePack,
         "claim_kind": entry_claim_kind(F.col("label"), F.col("heading"), pack),
         "root_identity_match": root_identity_match(text("bab_letter"), text("corrected_bab_letter"),
                                                    text("correction_reason"), hamza)})
-    df = df.withColumn("entry_kind", entry_kind(F.col("heading_type"), F.col("body_text")))
+    df = once(df, "heading_type", "claim_kind", "root_identity_match")
+    df = once(df.withColumn("entry_kind", entry_kind(F.col("heading_type"), F.col("body_text"))), "entry_kind")
     kind, match = F.col("claim_kind"), F.col("root_identity_match")
     strength = F.when(F.col("claim_text") == "", "UNKNOWN").otherwise(
         first_label(F.col("claim_text"), pack.strength_cues, "ASSERTED"))
@@ -137,6 +138,7 @@ def source_bundles(entries: DataFrame, evidence: DataFrame, pack: DiscoursePack,
         "author_position": F.when(has_claim, F.when(kind == "DISPUTED_CLAIM", "UNRESOLVED").when(
             kind == "NEGATIVE_CLAIM", "REJECTED").otherwise("ADOPTED")),
         "origin_count_explicit": F.when(has_claim, F.col("origin_count").isNotNull())})
+    df = once(df, "residuals")
     resolved = F.col("root_identity_match").isin("EXACT", "NORMALIZED_MATCH")
     return df.withColumn("ontology_buildable", resolved & ~F.arrays_overlap(
         "residuals", F.array(*map(F.lit, V.BLOCKING_RESIDUALS)))).select(

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rootloom.functions import first_label, first_text, normalize, normalize_root, strip_ws
+from rootloom.functions import first_label, first_text, normalize, normalize_root, once, strip_ws
 from rootloom.operators.claimgraph import edge, node_id
 from rootloom.rules import vocab as V
 from rootloom.rules.model import DiscoursePack, Profile
@@ -37,12 +37,12 @@ def origins(entries: DataFrame, boundaries: DataFrame, pack: DiscoursePack) -> D
     label = F.coalesce("semantic_origin_type", F.lit("NONE"))
     rows = (entries.where((text != "") & ~label.isin(*V.NOISE_TYPES))
             .join(boundaries.select("entry_id", "boundary_pos"), "entry_id", "left")
-            .select("entry_id", "root_letters", label.alias("label"), F.posexplode(parts).alias("origin_index", "part")))
+            .select("entry_id", "root_letters", label.alias("label"), F.posexplode_outer(parts).alias("origin_index", "part")))
     explicit, words = semantic_nucleus(F.col("part"), pack)
-    rows = rows.withColumn("explicit", explicit).withColumn("words", words)
+    rows = once(rows.withColumn("explicit", explicit).withColumn("words", words), "explicit", "words")
     nucleus = F.coalesce("explicit", "words")
     combined = F.concat(F.coalesce("semantic_nucleus", F.lit("")), F.lit(" "), F.col("part"))
-    return rows.withColumn("semantic_nucleus", nucleus).withColumns({
+    return once(rows.withColumn("semantic_nucleus", nucleus), "semantic_nucleus").withColumns({
         "gloss_method": F.when(F.col("explicit").isNotNull(), "SOURCE_EXPLICIT").when(
             F.col("words").isNotNull(), "MACHINE_SUMMARIZED").otherwise("NOT_EXTRACTABLE"),
         "semantic_kind": first_label(combined, pack.semantic_kinds, "UNKNOWN"),
@@ -71,8 +71,8 @@ def branches(claims: DataFrame, found: DataFrame, pack: DiscoursePack) -> DataFr
     per_origin = Window.partitionBy("entry_id", "origin_index").orderBy("pos")
     gloss = F.col("gloss")
     relation = first_label(gloss, pack.relations, None)
-    return (items.withColumn("gloss", F.substring(strip_ws(shown), 1, GLOSS))
-            .withColumn("stated_relation", relation)
+    items = once(items.withColumn("gloss", F.substring(strip_ws(shown), 1, GLOSS)), "gloss")
+    return (once(items.withColumn("stated_relation", relation), "stated_relation")
             .select(node_id("BR", F.col("entry_id"), F.col("pos")).alias("branch_id"), "entry_id", "pos", "origin_id",
                     "origin_index", (F.row_number().over(per_origin) - 1).alias("branch_index"),
                     F.nullif(strip_ws(F.col("term")), F.lit("")).alias("source_form"), gloss,

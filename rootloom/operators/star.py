@@ -9,7 +9,7 @@ from rootloom.rules.vocab import ATTRIBUTION_DIRECT
 
 def _items(enriched: DataFrame, array: str, pos: str, value: str) -> DataFrame:
     return enriched.select(F.col("entry_num").alias("entry_id"),
-                           F.posexplode(array).alias("_pos", value)).select(
+                           F.posexplode_outer(array).alias("_pos", value)).where(F.col("_pos").isNotNull()).select(
         "entry_id", (F.col("_pos") + 1).alias(pos), value)
 
 

@@ -26,7 +26,7 @@ def volume_content_hash(lines: DataFrame, source: str = "source_pdf", order: str
 
     level = (lines.withColumn("node", F.floor(F.col(order) / block_lines))
              .groupBy(source, "node").agg(F.sha2(joined(order, raw), 256).alias("hash")))
-    for parent in (F.floor(F.col("node") / HASH_FANOUT), F.lit(0)):
+    for parent in (F.floor(F.col("child") / HASH_FANOUT), F.lit(0)):
         items = F.array_sort(F.collect_list(F.struct("child", "hash")))
         level = (level.withColumnRenamed("node", "child").withColumn("node", parent)
                  .groupBy(source, "node").agg(items.alias("items"))

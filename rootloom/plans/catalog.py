@@ -814,8 +814,7 @@ def _(t: Tables):
 
 @query("L14_claim_edges")
 def _(t: Tables):
-    nodes = _claim_nodes(t)
-    e = claimgraph.claim_edges(nodes, claimgraph.evidence_nodes(nodes, DISC), DISC)
+    e = claimgraph.claim_edges(_claim_nodes(t), DISC)
     return e.select("entry_id", "edge_type", "source_id", "target_id",
                     F.coalesce(F.col("meta")["evidence_strength"], F.lit("")).alias("strength"))
 

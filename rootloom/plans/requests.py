@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rootloom.functions import body_excerpt, excerpt, normalize, normalize_root
+from rootloom.functions import body_excerpt, excerpt, normalize, normalize_root, once
 from rootloom.operators.predicates import author_position_kept
 from rootloom.rules import vocab as V
 from rootloom.rules.model import Profile
@@ -205,8 +205,8 @@ def concept_to_root_search(requests: DataFrame, entries: DataFrame, profile: Pro
     wanted = asked.where(F.col("concept").isNotNull())
     axis_keys = wanted.select("request_id", F.explode(F.array_distinct(F.array(
         "concept", normalize(F.col("concept"), profile)))).alias("needle")).where(F.col("needle") != "")
-    axes = entries.select("entry_id", "root_letters", "root_display", F.explode("axes").alias("a")).select(
-        "entry_id", "root_letters", "root_display", F.col("a.axis_num").alias("axis_num"),
+    axes = entries.select("entry_id", "root_letters", "root_display", F.explode_outer("axes").alias("a")).where(
+        F.col("a").isNotNull()).select("entry_id", "root_letters", "root_display", F.col("a.axis_num").alias("axis_num"),
         F.col("a.axis_text").alias("axis_text"), F.col("a.axis_text").alias("searched"),
         F.col("a.attribution").alias("attribution"))
     hits = _containing(axes, "searched", ["entry_id", "axis_num"], axis_keys).drop("needle").distinct()
@@ -255,7 +255,7 @@ def claim_support(requests: DataFrame, entries: DataFrame, profile: Profile) ->
         words = F.filter(F.split("nc", " "), lambda w: F.length(w) > 2)
         return (F.col("nc") != "") & (text != "") & (
             text.contains(F.col("nc")) | F.col("nc").contains(text) | F.exists(words, lambda w: text.contains(w)))
-    joined = joined.withColumn("hits", F.filter("axes", supports))
+    joined = once(joined.withColumn("hits", F.filter("axes", supports)), "hits")
     item = "struct<source_type:string,text:string,attribution:string,claim_support:string>"
     by_axis = F.transform("hits", lambda a: F.struct(
         F.lit("SEMANTIC_AXIS").alias("source_type"), a["axis_text"].alias("text"),
@@ -267,7 +267,7 @@ def claim_support(requests: DataFrame, entries: DataFrame, profile: Profile) ->
     evidence = (F.when(F.size("hits") > 0, by_axis).when(in_body, by_body)
                 .otherwise(F.array().cast(f"array<{item}>")))
     kept = F.filter(evidence, lambda e: author_position_kept(e["attribution"], F.col("author_position")))
-    return joined.withColumn("evidence", kept).drop("hits", "nc")
+    return once(joined.withColumn("evidence", kept), "evidence").drop("hits", "nc")
 
 
 def claim_evidence(requests: DataFrame, entries: DataFrame, profile: Profile) -> DataFrame:
@@ -287,7 +287,8 @@ def claim_evidence(requests: DataFrame, entries: DataFrame, profile: Profile) ->
 
 def claim_evidence_rows(requests, entries, profile) -> DataFrame:
     return claim_support(requests, entries, profile).select(
-        "request_id", "entry_id", "root_letters", F.posexplode("evidence").alias("pos", "e")).select(
+        "request_id", "entry_id", "root_letters", F.posexplode_outer("evidence").alias("pos", "e")).where(
+        F.col("pos").isNotNull()).select(
         "request_id", "entry_id", "root_letters", "pos", "e.source_type", "e.text", "e.attribution", "e.claim_support")
 
 

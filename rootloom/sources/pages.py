@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # Where the text of a page is, and which blocks are not text.
 CONTAINERS = (("div", "id", "nass"), ("div", "class", "nass"), ("div", "id", "book-text"),
@@ -124,7 +125,7 @@ def extract_pages(pages: DataFrame, script_class: str = "؀-ۿ", merge_lines: bo
     ``merge_lines`` joins every blank run, line ends included, into one space.
     """
     keep = [c for c in pages.columns if c != html]
-    schema = pages.select(*keep).schema.add("text", "string").add("footnotes", "array<string>")
+    schema = pages.select(*keep).schema.add("text", "string").add("footnotes", ArrayType(StringType()))
     pattern = f"[{script_class}]" if script_class != r"\p{L}" else r"[^\W\d_]"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
