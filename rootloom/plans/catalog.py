@@ -1118,7 +1118,7 @@ _ask("Q19_ASSERTION_PROVENANCE", rq.assertion_provenance, lambda: [*HEAD, F.arra
     "axes_provenance", lambda a: F.concat_ws(":", a["provenance"], a["text"])), "|").alias("provenance")])
 _ask("Q9_CLAIM_EVIDENCE", rq.claim_evidence, lambda: ["request_id", "found", "query_status", "canonical_root", "entries_checked",
      "claim_status", "evidence_count", "confidence"])
-_ask("Q9_claim_evidence_rows", rq.claim_evidence_rows, lambda: ["request_id", "entry_id", big("pos").alias("pos"), "source_type",
+_ask("Q9_claim_evidence_rows", rq.claim_evidence_rows, lambda: ["request_id", "entry_id", "root_letters", big("pos").alias("pos"), "source_type",
      "text", "attribution", "claim_support"])
 _ask("Q23_root_summary", rq.root_summary, lambda: ["request_id", "found", "entry_id", "root_display", "entry_type",
      joined("axis_texts").alias("axis_texts"), "evidence_text", "ocr_confidence"])

@@ -184,8 +184,10 @@ def _containing(texts: DataFrame, text: str, key: list[str], wanted: DataFrame,
     three characters), then the whole key is verified in the whole text.
     """
     grams = _grams(F.col(text))
-    short = F.concat(*(F.array_distinct(F.transform(grams, lambda g, n=n: F.substring(g, 1, n)))
-                       for n in range(1, max_key)))
+
+    def heads(size: int) -> Column:
+        return F.array_distinct(F.transform(grams, lambda g: F.substring(g, 1, size)))
+    short = F.concat(*(heads(size) for size in range(1, max_key)))
     probe = wanted.withColumn("gram", F.substring("needle", 1, max_key))
     verified = F.col(text).contains(F.col("needle"))
     if is_small(probe):

@@ -70,7 +70,7 @@ LINES = LinePack(
     strict=rf"(?i)^(?:{NAMES})\s[^\n]{{0,60}}?(?:, | )(?:{NAMES}) ",
     geminate=rf"(?i)^(?:it|this|that|a|un|une|ein|los)\s+(?:\p{{L}}+\s+)?(?:{NAMES})",
     footnote=r"^(?:Be|Was|Est|Ist|Es|By)[\s.]",
-    poetry=r"\p{L}[^\n]{5,}, [^\n]{5,}, [^\n]{5,}\p{L}",
+    poetry=r"^[^,]{5,}, [^,]{5,}, [^,]{5,}",
     page_ref=r"from (\p{L}+)|by (\p{L}+)",
     page_ref_groups=2,
     letter_names=LETTER_NAMES,
