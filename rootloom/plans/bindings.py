@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rootloom.operators.enrich import enrich
-from rootloom.plans.requests import with_axes
+from rootloom.plans.requests import EntryTable, with_axes
+from rootloom.session import spread
 from rootloom.rules import latin
 
 POETRY = latin.LINES.poetry
@@ -24,7 +25,7 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def parsed_entries(self) -> DataFrame:
         first = F.regexp_extract("text", r"\p{L}+", 0)
@@ -41,10 +42,10 @@ class Tables:
     def enriched(self) -> DataFrame:
         return enrich(self.parsed_entries(), latin.ORIGINS)
 
-    def entries(self) -> DataFrame:
-        """Star entries with their axes, as the request plans read them."""
-        e = self.enriched()
-        return with_axes(e.withColumn("entry_id", F.col("entry_num")))
+    def entries(self) -> EntryTable:
+        """Entries as the request plans read them, enriched after matching."""
+        parsed = self.parsed_entries().withColumn("entry_id", F.col("entry_num"))
+        return EntryTable(parsed, lambda rows: with_axes(enrich(rows, latin.ORIGINS)))
 
     def requests(self) -> DataFrame:
         words = F.regexp_extract_all("text", F.lit(r"(\p{L}+)"), F.lit(1))

@@ -1083,13 +1083,12 @@ HEAD = ("request_id", "found", "query_status", "canonical_root", "entry_id")
 
 @query("Q1_find_entries")
 def _(t: Tables):
-    return rq.find_entries(t.requests(), t.entries(), LOOKUP).select("request_id", "entry_id", "root_letters")
+    return rq.find_entries(t.requests(), t.entries().rows, LOOKUP).select("request_id", "entry_id", "root_letters")
 
 
 _ask("Q2_ROOT_LOOKUP", rq.root_lookup, lambda: [*HEAD, "entry_type", big("axes_count").alias("axes_count"),
      _axes_text().alias("axes"), F.array_join(F.transform("poetry", lambda p: p["line_text"]), "\n").alias("poetry"),
-     "ocr_confidence", "first_confidence", "first_review_state", joined("quoted_authorities").alias("authorities")],
-     poetry=lambda t: star.star_poetry(t.enriched()))
+     "ocr_confidence", "first_confidence", "first_review_state", joined("quoted_authorities").alias("authorities")])
 _ask("Q3_ROOT_SEMANTIC_ORIGINS", rq.root_semantic_origins, lambda: [*HEAD, "entry_type", _axes_text().alias("axes"),
      "body_excerpt", "confidence"])
 _ask("Q4_ROOT_EXISTS", rq.root_exists, lambda: ["request_id", "found", "query_status", "canonical_root", "entry_count",
@@ -1106,8 +1105,7 @@ _ask("Q12_ROOT_INTERNAL_CONFLICT", rq.root_internal_conflict, lambda: [*HEAD, bi
      "has_conflict", "has_residuals"])
 _ask("Q13_DERIVATIVE_ATTESTATION", rq.derivative_attestation, lambda: [*HEAD, "excerpt"])
 _ask("Q14_SOURCE_EVIDENCE", rq.source_evidence_lookup, lambda: [*HEAD, "source", joined("page_refs").alias("page_refs"),
-     F.array_join(F.transform("passages", lambda p: p["content"]), "\n").alias("passages")],
-     passages=lambda t: star.star_passages(t.enriched()))
+     F.array_join(F.transform("passages", lambda p: p["content"]), "\n").alias("passages")])
 _ask("Q15_CLAIM_ATTRIBUTION", rq.claim_attribution, lambda: [*HEAD, _axes_text().alias("axes"),
      joined("quoted_authorities").alias("authorities"), F.col("note").isNotNull().alias("unattributed")])
 _ask("Q16_ROOT_SENSE_CANDIDATES", rq.root_sense_candidates, lambda: [*HEAD, F.array_join(F.transform(
@@ -1142,8 +1140,7 @@ def _(t: Tables):
     kinds = F.array(*(F.lit(k) for k in [*sorted(rq.HANDLERS), *sorted(rq.ALIASES), "SOMETHING_ELSE"]))
     asks = t.requests().withColumn("query_type", F.element_at(kinds, (F.col("request_id") % F.size(kinds) + 1)
                                                               .cast("int")))
-    e = t.enriched()
-    return rq.run_queries(asks, t.entries(), LOOKUP, star.star_passages(e), t.trace()).groupBy(
+    return rq.run_queries(asks, t.entries(), LOOKUP, t.trace()).groupBy(
         "request_id", "query_type", "found", "query_status", "canonical_root").agg(
         F.count("entry_id").alias("rows"), F.count("result").alias("payloads"))
 

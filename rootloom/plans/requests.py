@@ -7,6 +7,8 @@ per request are never collected: a root may own a third of all entries.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -17,6 +19,20 @@ from rootloom.rules import vocab as V
 from rootloom.rules.model import Profile
 from rootloom.session import broadcast_if_small, is_small
 
+@dataclass(frozen=True)
+class EntryTable:
+    """Entries whose costly columns are added by ``finish`` after matching.
+
+    Lookups then pay for matched entries only; a stored star table needs no finish.
+    """
+
+    rows: DataFrame
+    finish: Callable[[DataFrame], DataFrame]
+
+    def complete(self) -> DataFrame:
+        return self.finish(self.rows)
+
+
 KEY_LENGTH = 64
 FALLBACK_LIMIT = 20
 AXIS_LIMIT, BODY_LIMIT = 50, 30
@@ -76,6 +92,16 @@ def find_entries(requests: DataFrame, entries: DataFrame, profile: Profile,
     return rows if small else rows.join(entries.drop("entry_num"), "entry_id")
 
 
+def matched(requests: DataFrame, entries: DataFrame | EntryTable, profile: Profile) -> DataFrame:
+    if isinstance(entries, EntryTable):
+        return entries.finish(find_entries(requests, entries.rows, profile))
+    return find_entries(requests, entries, profile)
+
+
+def whole(entries: DataFrame | EntryTable) -> DataFrame:
+    return entries.complete() if isinstance(entries, EntryTable) else entries
+
+
 def _answer(requests: DataFrame, rows: DataFrame, profile: Profile, first: dict[str, str] | None = None,
             missing_status: str = "NOT_FOUND", status: Column | None = None, **aggregates: Column) -> DataFrame:
     """Joins per-request facts to the result rows; requests without rows keep one."""
@@ -116,15 +142,22 @@ def with_axes(entries: DataFrame, axes: DataFrame | None = None) -> DataFrame:
     return entries.join(grouped, "entry_id", "left").withColumn("axes", F.coalesce("axes", none))
 
 
+def _child_lists(rows: DataFrame, name: str, array: str, child: DataFrame | None, *fields: str) -> DataFrame:
+    """Child records of each matched entry as an ordered array ``name``.
+
+    They come from the entry's own ``array`` column, or from a star table keyed by
+    ``entry_id`` (an entry has few child records).
+    """
+    if child is None:
+        items = F.transform(array, lambda x, i: F.struct((i + 1).alias(fields[0]), x.alias(fields[1])))
+        return rows.withColumn(name, F.when(F.size(array) > 0, items))
+    mine = child.join(rows.select("entry_id").distinct(), "entry_id", "left_semi")
+    lists = mine.groupBy("entry_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
+    return rows.join(lists, "entry_id", "left")
+
+
 def root_lookup(requests, entries, profile, poetry: DataFrame | None = None) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
-    if poetry is not None:
-        asked = poetry.join(rows.select("entry_id").distinct(), "entry_id", "left_semi")
-        verses = asked.groupBy("entry_id").agg(F.array_sort(F.collect_list(F.struct("line_num", "line_text")))
-                                               .alias("poetry"))
-        rows = rows.join(verses, "entry_id", "left")
-    else:
-        rows = rows.withColumn("poetry", F.lit(None).cast("array<struct<line_num:int,line_text:string>>"))
+    rows = _child_lists(matched(requests, entries, profile), "poetry", "poetry_lines", poetry, "line_num", "line_text")
     return _detail(requests, rows, profile,
                    ["root_letters", "root_display", "entry_type", "axes_count", "axes", "body_text", "poetry",
                     "page_refs", "quoted_authorities", "ocr_confidence", "review_state"],
@@ -132,7 +165,7 @@ def root_lookup(requests, entries, profile, poetry: DataFrame | None = None) ->
 
 
 def root_semantic_origins(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     return _detail(requests, rows, profile,
                    ["root_letters", "root_display", "entry_type", "axes_count", "axes",
                     body_excerpt(F.col("body_text")).alias("body_excerpt"), "page_refs", "ocr_confidence"],
@@ -141,7 +174,7 @@ def root_semantic_origins(requests, entries, profile) -> DataFrame:
 
 def root_exists(requests, entries, profile) -> DataFrame:
     """One row per request: count, and how many entries per type and state."""
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     counts = rows.groupBy("request_id", "entry_type", "review_state").agg(F.count("*").alias("n"))
     lists = counts.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(
         "entry_type", "review_state", "n"))).alias("entry_statuses"))
@@ -149,7 +182,7 @@ def root_exists(requests, entries, profile) -> DataFrame:
 
 
 def root_canonical_identity(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     out = _detail(requests, rows, profile, ["root_letters", "root_display"],
                   first={"first_display": "root_display", "first_type": "entry_type"})
     bare = F.replace(F.col("canonical_root"), F.lit(" "), F.lit(""))
@@ -157,7 +190,7 @@ def root_canonical_identity(requests, entries, profile) -> DataFrame:
 
 
 def entry_qualification(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     quality = F.when(F.coalesce("ocr_confidence", F.lit(0.0)) == 0.0, 1.0).otherwise(F.col("ocr_confidence"))
     out = _detail(requests, rows, profile,
                   ["root_letters", "root_display", "entry_type", "axes_count", "ocr_confidence", "review_state",
@@ -202,12 +235,13 @@ def concept_to_root_search(requests: DataFrame, entries: DataFrame, profile: Pro
                            axis_limit: int = AXIS_LIMIT, body_limit: int = BODY_LIMIT) -> DataFrame:
     """Axis hits (first ``axis_limit`` by entry), then body hits (``body_limit``); an
     entry counts once, axis before body.  Limits are the query's own."""
+    table = whole(entries)
     concept = concept_of(requests)
     asked = requests.withColumn("concept", concept)
     wanted = asked.where(F.col("concept").isNotNull())
     axis_keys = wanted.select("request_id", F.explode(F.array_distinct(F.array(
         "concept", normalize(F.col("concept"), profile)))).alias("needle")).where(F.col("needle") != "")
-    axes = entries.select("entry_id", "root_letters", "root_display", F.explode_outer("axes").alias("a")).where(
+    axes = table.select("entry_id", "root_letters", "root_display", F.explode_outer("axes").alias("a")).where(
         F.col("a").isNotNull()).select("entry_id", "root_letters", "root_display", F.col("a.axis_num").alias("axis_num"),
         F.col("a.axis_text").alias("axis_text"), F.col("a.axis_text").alias("searched"),
         F.col("a.attribution").alias("attribution"))
@@ -220,7 +254,8 @@ def concept_to_root_search(requests: DataFrame, entries: DataFrame, profile: Pro
         F.when(F.col("h.attribution") == V.ATTRIBUTION_DIRECT, V.MATCH_BY_AXIS).otherwise(V.MATCH_BY_QUOTED)
         .alias("match_type"), F.col("h.axis_text").alias("matched_axis"))
     body_keys = wanted.select("request_id", F.col("concept").alias("needle"))
-    body = _containing(entries.select("entry_id", "root_letters", "root_display", "body_text"),
+    body = _containing((entries.rows if isinstance(entries, EntryTable) else entries).select(
+        "entry_id", "root_letters", "root_display", "body_text"),
                        "body_text", ["entry_id"], body_keys)
     order = Window.partitionBy("request_id").orderBy("entry_id")
     body = body.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= body_limit)
@@ -248,7 +283,7 @@ def find_roots_by_concept(requests, entries, profile, limit: int = 20) -> DataFr
 
 def claim_support(requests: DataFrame, entries: DataFrame, profile: Profile) -> DataFrame:
     """Evidence rows: supporting axes; a body hit counts for entries without any."""
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     asks = requests.select("request_id", F.coalesce("claim_text", F.lit("")).alias("claim"), "author_position")
     joined = rows.join(broadcast_if_small(asks), "request_id").withColumn("nc", normalize(F.col("claim"), profile))
 
@@ -299,7 +334,7 @@ def check_claim(requests, entries, profile) -> DataFrame:
 
 
 def root_meaning_evidence(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile).join(broadcast_if_small(requests.select(
+    rows = matched(requests, entries, profile).join(broadcast_if_small(requests.select(
         "request_id", F.coalesce(F.nullif("concept_id", F.lit("")), F.nullif("claim_text", F.lit("")))
         .alias("needle"))), "request_id")
     shown = F.when(F.col("needle").isNotNull(), excerpt(F.col("body_text"), F.col("needle"))).otherwise(
@@ -308,7 +343,7 @@ def root_meaning_evidence(requests, entries, profile) -> DataFrame:
 
 
 def root_origin_relations(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     many = F.size("axes") > 1
     scope = F.when(F.col("entry_type") == "SINGLE_ORIGIN", "FULL").when(many, "PARTIAL").otherwise("UNKNOWN")
     return _detail(requests, rows, profile, ["root_letters", "axes_count", "axes", many.alias("has_multiple_origins"),
@@ -316,7 +351,7 @@ def root_origin_relations(requests, entries, profile) -> DataFrame:
 
 
 def root_internal_conflict(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     return _detail(requests, rows, profile, [
         "root_letters", F.size("axes").alias("axis_rows"), (F.size("axes") > 1).alias("has_conflict"), "entry_type",
         (F.col("entry_type") == "UNKNOWN").alias("has_residuals")])
@@ -325,7 +360,7 @@ def root_internal_conflict(requests, entries, profile) -> DataFrame:
 def derivative_attestation(requests, entries, profile) -> DataFrame:
     """Entries of the root whose body holds the lemma; OK only when one does."""
     asks = broadcast_if_small(requests.select("request_id", F.coalesce("lemma", F.lit("")).alias("needle")))
-    rows = find_entries(requests, entries, profile).join(asks, "request_id")
+    rows = matched(requests, entries, profile).join(asks, "request_id")
     hit = (F.col("needle") != "") & F.col("body_text").contains(F.col("needle"))
     answer = _answer(requests, rows, profile, attested=F.count_if(hit),
                      status=F.when(F.col("_root") == "", "INVALID_ROOT_INPUT")
@@ -335,28 +370,25 @@ def derivative_attestation(requests, entries, profile) -> DataFrame:
         F.col("body_text"), F.col("needle")).alias("excerpt")), "request_id", "left")
 
 
-def source_evidence_lookup(requests, entries, profile, passages: DataFrame) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
-    wanted = passages.join(rows.select("entry_id").distinct(), "entry_id", "left_semi")
-    notes = wanted.groupBy("entry_id").agg(F.array_sort(F.collect_list(F.struct(
-        "passage_num", "passage_type", "content"))).alias("passages"))
-    return _detail(requests, rows.join(notes, "entry_id", "left"), profile,
-                   ["root_letters", "body_text", "page_refs", "source", "passages"])
+def source_evidence_lookup(requests, entries, profile, passages: DataFrame | None = None) -> DataFrame:
+    rows = _child_lists(matched(requests, entries, profile), "passages", "footnote_lines", passages,
+                        "passage_num", "content")
+    return _detail(requests, rows, profile, ["root_letters", "body_text", "page_refs", "source", "passages"])
 
 
 def claim_attribution(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     note = F.when(F.size("quoted_authorities") == 0, V.UNATTRIBUTED_NOTE)
     return _detail(requests, rows, profile, ["root_letters", "axes", "quoted_authorities", note.alias("note")])
 
 
 def root_sense_candidates(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     return _detail(requests, rows, profile, ["root_letters", F.col("axes").alias("sense_candidates")])
 
 
 def record_integrity(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     unknown = F.col("entry_type") == "UNKNOWN"
     return _detail(requests, rows, profile, [
         "root_letters", "entry_type", (~unknown).alias("axes_extracted"), "ocr_confidence", "review_state",
@@ -365,14 +397,14 @@ def record_integrity(requests, entries, profile) -> DataFrame:
 
 def trace_lookup(requests, entries, profile, trace: DataFrame) -> DataFrame:
     """One row per (request, entry, trace event); order by ``event_id``."""
-    rows = find_entries(requests, entries, profile).select("request_id", "entry_id", "entry_num", "root_letters")
+    rows = matched(requests, entries, profile).select("request_id", "entry_id", "entry_num", "root_letters")
     wanted = trace.join(rows.select("entry_id").distinct(), "entry_id", "left_semi")
     joined = rows.join(wanted, "entry_id", "left")
     return _answer(requests, rows, profile).join(joined.drop("root_letters", "entry_num"), "request_id", "left")
 
 
 def assertion_provenance(requests, entries, profile) -> DataFrame:
-    rows = find_entries(requests, entries, profile)
+    rows = matched(requests, entries, profile)
     label = F.transform("axes", lambda a: F.struct(
         a["axis_text"].alias("text"), a["attribution"].alias("attribution"),
         F.when(a["attribution"] == V.ATTRIBUTION_DIRECT, V.PROVENANCE_EXPLICIT)
@@ -390,7 +422,7 @@ def root_summary(requests, entries, profile) -> DataFrame:
 
 def root_claims(requests, entries, profile) -> DataFrame:
     """One row per axis; an entry without axes gives one raw-text claim of rank 0."""
-    rows = find_entries(requests, entries, profile).withColumn("shown", F.substring(
+    rows = matched(requests, entries, profile).withColumn("shown", F.substring(
         body_excerpt(F.col("body_text")), 1, 300))
     out = rows.select("request_id", "entry_id", "root_display", "shown", F.explode_outer("axes").alias("a"))
     return out.where(F.col("a").isNotNull() | (F.col("shown") != "")).select(
@@ -407,7 +439,7 @@ def evidence_ids_v2(requests, entries, profile, namespace: str = "lex") -> DataF
         asks, "request_id").select("request_id", F.concat(
             F.lit(f"{namespace}:v2:"), "root", F.lit(":axis:"), "claim_rank", F.lit(":"),
             F.replace(F.substring("claim_text", 1, 40), F.lit(" "), F.lit("_"))).alias("evidence_id"))
-    first = _answer(requests, find_entries(requests, entries, profile), profile,
+    first = _answer(requests, matched(requests, entries, profile), profile,
                     first={"first_type": "entry_type"}).where("found").join(asks, "request_id").select(
         "request_id", F.concat(F.lit(f"{namespace}:v2:"), "root", F.lit(":type:"), "first_type").alias("evidence_id"))
     claimed = axis.select("request_id").distinct()
@@ -436,8 +468,8 @@ def canonical_type(col: Column) -> Column:
     return F.when(evidence, "CLAIM_EVIDENCE").otherwise(F.coalesce(F.element_at(known, col), col))
 
 
-def run_queries(requests: DataFrame, entries: DataFrame, profile: Profile, passages: DataFrame,
-                trace: DataFrame) -> DataFrame:
+def run_queries(requests: DataFrame, entries: DataFrame | EntryTable, profile: Profile, trace: DataFrame,
+                passages: DataFrame | None = None) -> DataFrame:
     """Mixed requests: one row per request and result, the payload as JSON.
 
     Answers cover exactly the types in the table; an unknown type is an answer too.

@@ -52,3 +52,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS,
     Larger inputs come back unhinted, so the join shuffles (and AQE splits skew).
     """
     return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of fewer splits than cores; large inputs stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
