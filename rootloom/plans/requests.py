@@ -93,9 +93,11 @@ def find_entries(requests: DataFrame, entries: DataFrame, profile: Profile,
 
 
 def matched(requests: DataFrame, entries: DataFrame | EntryTable, profile: Profile) -> DataFrame:
+    """Matched entries of each request.  Answers read them two or three times (request
+    facts and result rows), so they are persisted; lost blocks are recomputed."""
     if isinstance(entries, EntryTable):
-        return entries.finish(find_entries(requests, entries.rows, profile))
-    return find_entries(requests, entries, profile)
+        return entries.finish(find_entries(requests, entries.rows, profile)).persist()
+    return find_entries(requests, entries, profile).persist()
 
 
 def whole(entries: DataFrame | EntryTable) -> DataFrame:
