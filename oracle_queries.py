@@ -731,7 +731,7 @@ _bestraw = "CASE WHEN coalesce(human_text, '') <> '' THEN human_text WHEN correc
 _agg = lambda v: f"coalesce(string_agg({v}, ' ' ORDER BY pos) FILTER (coalesce({v}, '') <> ''), '')"
 cte("body_lines", f"SELECT e.entry_id, l.*, {_bestraw} AS shown FROM root_entries e JOIN scan_lines l ON e.doc_id = l.doc_id WHERE NOT {has('raw_ocr', POETRY)}")
 cte("evidence_agg", f"""SELECT entry_id, count(*) AS lines_found, {_agg('raw_ocr')} AS raw_text, {_agg('corrected_ocr')} AS fixed_text, {_agg('human_text')} AS human_all,
-  coalesce(string_agg(shown, ' ' ORDER BY pos) FILTER ({strip('shown')} <> ''), '') AS body_text, avg(confidence) AS ocr_confidence,
+  coalesce(string_agg(shown, ' ' ORDER BY pos) FILTER ({strip('shown')} <> ''), '') AS body_text, avg(CAST(confidence AS DECIMAL(18, 9))) AS ocr_confidence,
   CAST(sum(length(raw_ocr) - length(replace(raw_ocr, chr(65533), ''))) AS BIGINT) AS repl, CAST(min(pos * 10.0) AS DOUBLE) AS y,
   CAST(max(length(raw_ocr)) AS DOUBLE) AS w, CAST(max(pos * 10.0 + 9.0) - min(pos * 10.0) AS DOUBLE) AS h FROM body_lines GROUP BY entry_id""")
 cte("evidence_t", """SELECT e.entry_id, e.source_pdf, e.pdf_page, coalesce(lines_found, 0) AS lines_found, coalesce(raw_text, '') AS raw_text, coalesce(fixed_text, '') AS fixed_text,
@@ -898,7 +898,7 @@ cte("answers", """SELECT a.request_id, a.claim_text, a.lemma, a.concept_id, a.au
   AS query_status, f.canonical_root, coalesce(f.n, 0) AS entry_count, f.* EXCLUDE (request_id, n, canonical_root) FROM ask_keys a LEFT JOIN (
   SELECT request_id, count(*) AS n, arg_min(root_letters, entry_num) AS canonical_root, arg_min(ocr_confidence, entry_num) AS first_confidence,
     arg_min(root_display, entry_num) AS first_display, arg_min(entry_type, entry_num) AS first_type, min(ocr_confidence) AS min_confidence,
-    bool_or(entry_type = 'UNKNOWN') AS any_unknown, avg(CASE WHEN ocr_confidence = 0 THEN 1.0 ELSE ocr_confidence END) AS mean_confidence
+    bool_or(entry_type = 'UNKNOWN') AS any_unknown, avg(CAST(CASE WHEN ocr_confidence = 0 THEN 1.0 ELSE ocr_confidence END AS DECIMAL(18, 9))) AS mean_confidence
   FROM found GROUP BY request_id) f USING (request_id)""")
 
 

@@ -56,6 +56,11 @@ def entity_id(namespace: str, kind: str, *parts: Column | str) -> Column:
     return F.concat_ws(":", F.lit(f"{namespace}:{kind}"), *(c.cast("string") for c in cols))
 
 
+def exact_avg(col: Column) -> Column:
+    """Mean summed in decimals: the same in any row order, so thresholds do not flicker."""
+    return F.avg(col.cast("decimal(20,9)")).cast("double")
+
+
 def volume_number(filename: Column) -> Column:
     """`02.pdf` gives 2; a name without digits gives 0."""
     digits = F.nullif(F.regexp_extract(filename, r"^\D*(\d+)\.pdf$", 1), F.lit(""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.functions import checksum, first_label, normalize, once, root_profile, strip_ws, volume_number
+from rootloom.functions import checksum, exact_avg, first_label, normalize, once, root_profile, strip_ws, volume_number
 from rootloom.operators.body import body_line_refs, ordered_text
 from rootloom.rules import vocab as V
 from rootloom.rules.model import DiscoursePack, Profile
@@ -39,7 +39,7 @@ def source_evidence(entries: DataFrame, lines: DataFrame, pack: DiscoursePack) -
         ordered_text("pos", raw).alias("raw_ocr_text"), ordered_text("pos", text("fixed")).alias("normalized_text"),
         ordered_text("pos", text("human")).alias("human_corrected_text"),
         ordered_text("pos", F.when(strip_ws(best) != "", best)).alias("body_text"),
-        F.coalesce(F.avg("confidence"), F.lit(0.0)).alias("ocr_confidence"),
+        F.coalesce(exact_avg(F.col("confidence")), F.lit(0.0)).alias("ocr_confidence"),
         F.coalesce(F.sum(F.length(raw) - F.length(F.replace(raw, F.lit("�"), F.lit("")))), F.lit(0))
         .alias("replacement_characters"),
         F.array_distinct(F.flatten(F.transform(pairs, lambda x: x["c"]))).alias("suspected_confusions"),

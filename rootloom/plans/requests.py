@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rootloom.functions import body_excerpt, excerpt, normalize, normalize_root, once
+from rootloom.functions import body_excerpt, exact_avg, excerpt, normalize, normalize_root, once
 from rootloom.operators.predicates import author_position_kept
 from rootloom.rules import vocab as V
 from rootloom.rules.model import Profile
@@ -197,7 +197,7 @@ def entry_qualification(requests, entries, profile) -> DataFrame:
     out = _detail(requests, rows, profile,
                   ["root_letters", "root_display", "entry_type", "axes_count", "ocr_confidence", "review_state",
                    "claim_status", (F.length("body_text") > 0).alias("has_body")],
-                  confidence=F.round(F.avg(quality), 2), partial_load=F.bool_or(F.col("entry_type") == "UNKNOWN"))
+                  confidence=F.round(exact_avg(quality), 2), partial_load=F.bool_or(F.col("entry_type") == "UNKNOWN"))
     return out.withColumn("entry_status", F.when(~F.col("found"), "ABSENT").otherwise("PRESENT"))
 
 
