@@ -376,7 +376,8 @@ def _(t: Tables):
 
 # --------------------------------------------------------------- G: quarantine
 def _imports(t: Tables) -> DataFrame:
-    return quarantine.import_entries(t.corrected_entries())
+    """Persisted: governance queries read the imports once per derived table."""
+    return quarantine.import_entries(t.corrected_entries()).persist()
 
 
 def _residual_view(df: DataFrame) -> DataFrame:
@@ -919,8 +920,9 @@ def _branches(t: Tables) -> DataFrame:
 
 
 def _layers(t: Tables) -> dict[str, DataFrame]:
-    bundles, found, rows = _bundles(t), _origins(t), _claim_rows(t)
-    branch = origins.branches(rows, found, DISC)
+    # Every later layer reads these again, so each is computed once.
+    bundles, found, rows = _bundles(t).persist(), _origins(t).persist(), _claim_rows(t).persist()
+    branch = origins.branches(rows, found, DISC).persist()
     gate = concepts.ontology_gate(bundles, found)
     return {"bundles": bundles, "claims": rows, "origins": found, "branches": branch, "gate": gate,
             "concepts": concepts.concepts(found, branch, bundles, gate, DISC)}
