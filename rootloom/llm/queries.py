@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rootloom.llm import warc
+from rootloom.llm import decontam, warc
 from rootloom.llm.common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +43,22 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(spark, archives, payloads=False).select(
         page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         page("refers_to").alias("refers_to"))
+
+
+@query("op2_decontamination", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT item_id, least(len(w), 10) AS k, w[i:i + least(len(w), 10) - 1] AS ws
+        FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) t(i) WHERE len(w) > 0),
+dw AS (SELECT rid, i, k, w[i:i + k - 1] AS ws FROM d, (SELECT DISTINCT k FROM win) z, unnest(range(1, len(w) - k + 2)) t(i)),
+hit AS (SELECT rid, i, k, item_id FROM dw JOIN win USING (k, ws)),
+n AS (SELECT rid, count(DISTINCT p) AS n_hit FROM hit, unnest(range(i, i + k)) t(p) GROUP BY rid),
+it AS (SELECT rid, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+       FROM (SELECT DISTINCT rid, item_id::VARCHAR AS x FROM hit) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (rid) LEFT JOIN it USING (rid)""")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.digest(decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
