@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rootloom.llm import decontam, warc
+from rootloom.llm import decontam, urlfilter, warc
 from rootloom.llm.common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,25 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN n USING (rid) LEFT JOIN it USING (rid)""")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.digest(decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
+#: The listed addresses of the URL query: (host, path, verdict).
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
+             ("com", "/de/", "block")]
+
+
+@query("op3_url_filter", """
+WITH u AS (SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS p FROM pages),
+r AS (SELECT page_id, CASE WHEN p > 0 THEN substr(url, p + 3) ELSE '' END AS rest FROM u),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+rules(rh, rp, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                     ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+hit AS (SELECT host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v
+        FROM (SELECT DISTINCT host, path FROM h) JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+        GROUP BY host, path)
+SELECT h.page_id, h.host, h.path, rule, coalesce(v, 'allow') AS verdict FROM h LEFT JOIN hit USING (host, path)""")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page against the listed addresses; what no rule fits is allowed."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlfilter.judge(table(spark, folder, "pages"), rules)
