@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rootloom.llm import decontam, urlfilter, warc
+from rootloom.llm import decontam, linededup, substring, urlfilter, warc
 from rootloom.llm.common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,32 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Every page against the listed addresses; what no rule fits is allowed."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlfilter.judge(table(spark, folder, "pages"), rules)
+
+
+@query("op4_line_dedup", r"""
+WITH l AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+x AS (SELECT rid, doc_id, i, ls[i] AS line, translate(trim(ls[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l, unnest(range(1, len(ls) + 1)) t(i)),
+f AS (SELECT k, max(doc_id) AS keeper FROM x WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+y AS (SELECT rid, doc_id, i, line, f.k IS NOT NULL AND doc_id <> keeper AS gone FROM x LEFT JOIN f USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM y GROUP BY rid""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return linededup.digest(linededup.dedup_lines(docs, report="report"))
+
+
+@query("op7_substring_dedup", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT rid, doc_id, i, w[i:i + 49] AS ws FROM d, unnest(range(1, len(w) - 48)) t(i)),
+f AS (SELECT ws, min(doc_id) AS lo FROM win GROUP BY ws),
+gone AS (SELECT DISTINCT rid, p FROM win JOIN f USING (ws), unnest(range(i, i + 50)) t(p) WHERE doc_id > lo),
+kept AS (SELECT rid, string_agg(w[i], ' ' ORDER BY i) AS s, count(*) AS n
+         FROM (SELECT d.rid, w, i FROM d, unnest(range(1, len(w) + 1)) t(i)) a ANTI JOIN gone g ON a.rid = g.rid AND a.i = g.p GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)""")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    rows = substring.remove_repeats(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
