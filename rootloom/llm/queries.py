@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rootloom.llm import decontam, linededup, substring, urlfilter, warc
+from rootloom.llm import decontam, linededup, mixing, substring, tokencount, urlfilter, warc
 from rootloom.llm.common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,13 @@ FROM d LEFT JOIN kept USING (rid)""")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     rows = substring.remove_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_token_counts")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, folder, "documents"))
+
+
+@query("op9_mixing")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
