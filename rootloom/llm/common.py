@@ -68,3 +68,15 @@ def window_hashes(words, length: int, multiplier: int):
             block = block[:len(block) - size] * np.uint64(base) + block[size:]
             size, base = size * 2, base * base & mask
     return result
+
+
+def slices(batch, column: int, most: int = 1 << 19):
+    """A batch in parts of about `most` list values, so that a task's memory doesn't follow the batch."""
+    import numpy as np
+    ends = np.cumsum(batch.column(column).value_lengths().to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to

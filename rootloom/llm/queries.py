@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rootloom.llm import decontam, linededup, mixing, substring, tokencount, urlfilter, warc
+from rootloom.llm import ann, decontam, linededup, mixing, neardup, quality, substring, tokencount, urlfilter, warc
 from rootloom.llm.common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,18 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_mixing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_near_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.classes(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
+@query("op6_nearest_neighbours")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.neighbours(table(spark, folder, "embeddings")).select("query_id", "rank", "vec_id", "score")
