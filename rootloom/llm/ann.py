@@ -9,7 +9,8 @@ are merged and ranked by the exact distance, in double precision on the original
 Equal vectors are one point of the index with their smallest ids (one more than asked for: the query itself may be
 among them), which loses nothing, as equal distances go by id. The slot width is `width` times the spread of the projections,
 measured over all vectors. Points meet queries in (table, bucket) groups: the points of a bucket are dealt out over
-`salts` tasks, the queries of the bucket go to each of them, both sides are read in blocks, and only the best of a block leave a task.
+`salts` tasks, the queries of the bucket go to each of them, both sides are read in blocks, and only the best of a block leave a task. A query
+whose buckets hold fewer than k points is compared with all points instead.
 
 Defined cases: vectors that are null, zero, of another length than most or with null or non-finite components take no
 part, neither as query nor as candidate; null ids take no part; repeated rows (same id, same vector) count once; fewer
@@ -94,7 +95,7 @@ class Hashes:
         return np.stack(out)
 
 
-def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int = 8, functions: int = 6, probes: int = 64, width: float = 2.0,
+def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int = 6, functions: int = 6, probes: int = 64, width: float = 1.9,
                salts: int = 8, block: int = 2048) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query; queries are the ids divisible by `every`."""
     rows = stored(usable(vectors), "vectors")
@@ -133,16 +134,19 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int =
                 yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(np.concatenate(bucket)), part.column(0).take(row), part.column(1).take(row)],
                                                  ["t", "bucket", "query_id", "v"])
 
-    salt = F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int")
-    stock = points(rows, k + 1).mapInArrow(index, "t int, bucket long, v array<double>, ids array<long>").withColumn("salt", salt)
-    asked = rows.where(F.col("vec_id") % every == 0).distinct()
-    asked = asked.mapInArrow(visits, "t int, bucket long, query_id long, v array<double>")
+    def dealt(asked, stock):
+        """One stream per task, in the order of the buckets: the queries of a bucket, then its points."""
+        salted = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        stock = stock.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int"))
+        no_ids, no_query = F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("long").alias("query_id")
+        both = salted.select("t", "bucket", "salt", "query_id", "v", no_ids).union(stock.select("t", "bucket", "salt", no_query, "v", "ids"))
+        return both.repartition("t", "bucket", "salt").sortWithinPartitions("t", "bucket", "salt", F.col("query_id").isNull())
+
+    distinct = stored(points(rows, k + 1), "points")
+    stock = distinct.mapInArrow(index, "t int, bucket long, v array<double>, ids array<long>")
+    queries = rows.where(F.col("vec_id") % every == 0).distinct()
+    asked = queries.mapInArrow(visits, "t int, bucket long, query_id long, v array<double>")
     asked = asked.join(stock.select("t", "bucket").distinct(), ["t", "bucket"], "left_semi")  # visits to empty buckets end here
-    asked = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    # one stream per task, in the order of the buckets: the queries of a bucket, then its points
-    no_ids, no_query = F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("long").alias("query_id")
-    both = asked.select("t", "bucket", "salt", "query_id", "v", no_ids).union(stock.select("t", "bucket", "salt", no_query, "v", "ids"))
-    both = both.repartition("t", "bucket", "salt").sortWithinPartitions("t", "bucket", "salt", F.col("query_id").isNull())
 
     def nearest(batches: Iterator) -> Iterator:
         here, ids, asked_v = None, [], []
@@ -176,6 +180,16 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int =
                     yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in best], kind) for i, kind in ((0, pa.int64()), (2, pa.int64()), (1, pa.float64()))],
                                                      ["query_id", "vec_id", "score"])
 
-    found = both.mapInArrow(nearest, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    def search(asked, stock):
+        met = dealt(asked, stock).mapInArrow(nearest, "query_id long, vec_id long, score double")
+        return met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+
+    found = stored(search(asked, stock), "found")
+    # queries whose buckets hold too few points are compared with all points
+    total = rows.select("vec_id").distinct().count()
+    enough = found.groupBy("query_id").count().where(F.col("count") >= min(k, total - 1)).select("query_id")
+    everywhere = [F.lit(-1).alias("t"), F.lit(0).cast("long").alias("bucket")]
+    rest = queries.select(*everywhere, F.col("vec_id").alias("query_id"), "v").join(enough, "query_id", "left_anti")
+    found = found.join(enough, "query_id", "left_semi").unionByName(search(rest, distinct.select(*everywhere, "v", "ids")))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -109,7 +109,7 @@ def node() -> Column:
 def band_rows(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(bucket, node): one row per band of every document with words."""
     def keys(batches: Iterator) -> Iterator:
-        for batch in (part for whole in batches for part in slices(whole, 1)):
+        for batch in (part for whole in batches for part in slices(whole, 1, 1 << 18)):
             lists = batch.column(1)
             words, sizes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), lists.value_lengths().to_numpy(zero_copy_only=False)
             some = np.flatnonzero(sizes)
