@@ -45,8 +45,8 @@ def test_against_brute_force(spark):
         docs.append((n % 50, " é ".join(["", "\n".join(parts)])))
     docs += docs[-3:]
     frame = spark.createDataFrame([(i, t, 1, "w") for i, t in docs], "doc_id long, text string, tag int, w string").repartition(5)
-    for length, period, bits in ((10, 7, 2 ** 20), (8, 3, 2 ** 15), (12, 12, 2 ** 26)):
-        got = substring.remove_repeats(frame, length, period, bits).collect()
+    for length, period, bits, every in ((10, 7, 2 ** 20, 4), (8, 3, 2 ** 15, 1), (12, 12, 2 ** 26, 16)):
+        got = substring.remove_repeats(frame, length, period, bits, every).collect()
         assert sorted(map(tuple, got), key=str) == brute(docs, length)
 
 
