@@ -182,7 +182,9 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int =
 
     def search(asked, stock):
         met = dealt(asked, stock).mapInArrow(nearest, "query_id long, vec_id long, score double")
-        return met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        met = met.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
     found = stored(search(asked, stock), "found")
     # queries whose buckets hold too few points are compared with all points
@@ -190,6 +192,4 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int =
     enough = found.groupBy("query_id").count().where(F.col("count") >= min(k, total - 1)).select("query_id")
     everywhere = [F.lit(-1).alias("t"), F.lit(0).cast("long").alias("bucket")]
     rest = queries.select(*everywhere, F.col("vec_id").alias("query_id"), "v").join(enough, "query_id", "left_anti")
-    found = found.join(enough, "query_id", "left_semi").unionByName(search(rest, distinct.select(*everywhere, "v", "ids")))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.join(enough, "query_id", "left_semi").unionByName(search(rest, distinct.select(*everywhere, "v", "ids")))

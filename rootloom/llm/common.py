@@ -80,3 +80,11 @@ def slices(batch, column: int, most: int = 1 << 19):
         to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
         yield batch.slice(at, to - at)
         at = to
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches of long lists hold at most so many rows: their buffers lie outside the heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))

@@ -13,7 +13,7 @@ Documents with the same words are one node. Nodes that agree in a whole band mee
 candidates are formed in rounds, never as all pairs: first everybody with one hub; then buckets whose members are still in
 different components take a few further hubs a round, until each bucket is one component or every member has been a hub.
 A pair left out was already connected, so no link between components is lost. Each candidate is verified on
-the whole texts. Links are contracted to components in Spark.
+the whole texts; from the second round on inside the tasks, where members stream past the hubs. Links are contracted to components in Spark.
 
 Defined cases: documents without words are copies of each other; rows of one id with different texts are different
 documents; a null id counts as the smallest and is the class id null; repeated rows are copies; an empty table stays
@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.llm.common import LEAST_ID, SPACE, slices, stored, text_of, window_hashes, word_hashes
+from rootloom.llm.common import LEAST_ID, SPACE, slices, small_batches, stored, text_of, window_hashes, word_hashes
 from rootloom.llm.linededup import mix
 
 SHINGLE, BANDS, ROWS = 5, 30, 5
@@ -162,8 +162,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return labels
 
 
-def near_classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, hubs: int = 16) -> DataFrame:
+def near_classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, hubs: int = 64) -> DataFrame:
     """(node, comp) of the nodes that are linked with another one."""
+    small_batches(docs.sparkSession)
     keys = band_rows(docs, bands, rows).distinct()
     keys = stored(keys, "bands")
     shared = keys.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("n")).where("hub < last")
@@ -174,8 +175,8 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows:
     near = near.join(F.broadcast(nodes.select(slot).distinct()), "slot", "left_semi")  # at most SLOTS numbers
     texts = stored(near.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi"), "texts")
     pairs = stored(members.where("node != hub").select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct(), "pairs")
-    links, labels, seen, turn = stored(verified(pairs, texts, least), "links"), nodes.select("node", F.col("node").alias("comp")), pairs, 1
-    labels = components(labels, links)
+    links, turn = stored(verified(pairs, texts, least), "links"), 1
+    labels = components(nodes, links)
     open_ = members.select("bucket", "node", F.ceil(F.col("n") / hubs).alias("turns"))
     while True:
         rows_ = open_.join(labels, "node").select("bucket", "node", "turns", "comp")
@@ -183,17 +184,57 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows:
         open_rows = stored(rows_.join(split.where((F.col("lo") < F.col("hi")) & (F.col("t") >= turn)).select("bucket"), "bucket"), "open")
         if open_rows.isEmpty():
             return labels.where("node != comp").union(labels.where("node != comp").select("comp", "comp").distinct())
-        now = open_rows.where(F.pmod(F.xxhash64("node", "bucket"), F.col("turns")) + 1 == turn).select("bucket", F.col("node").alias("h"), F.col("comp").alias("hc"))
-        met = now.join(open_rows, "bucket").where("hc != comp").select(F.least("h", "node").alias("x"), F.greatest("h", "node").alias("y")).distinct()
-        fresh = stored(met.join(seen, ["x", "y"], "left_anti"), "pairs")
-        more = stored(verified(fresh, texts, least), "links")
-        if not more.isEmpty():
-            ends = more.join(labels.select(F.col("node").alias("x"), F.col("comp").alias("cx")), "x").join(
-                labels.select(F.col("node").alias("y"), F.col("comp").alias("cy")), "y").where("cx != cy").select(F.col("cx").alias("x"), F.col("cy").alias("y"))
-            merged = components(ends.select(F.col("x").alias("node")).union(ends.select("y")).distinct(), stored(ends.distinct(), "edges"))
+        ends = stored(links_in_buckets(open_rows, texts, turn, least), "links")
+        if not ends.isEmpty():
+            merged = components(ends.select(F.col("x").alias("node")).union(ends.select("y")).distinct(), ends)
             to = merged.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
             labels = stored(labels.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "labels")
-        open_, seen, turn = open_rows.select("bucket", "node", "turns"), seen.union(fresh), turn + 1
+        open_, turn = open_rows.select("bucket", "node", "turns"), turn + 1
+
+
+def links_in_buckets(open_rows: DataFrame, texts: DataFrame, turn: int, least: float, salts: int = 8) -> DataFrame:
+    """(x, y): components that a hub of this turn connects with another member of its bucket.
+
+    The members of a bucket are dealt out over `salts` tasks; each reads the hubs first and streams the members past
+    them, verifying on the whole texts. No pair is a row: only links between different components leave a task.
+    """
+    hub = F.pmod(F.xxhash64("node", "bucket"), F.col("turns")) + 1 == turn
+    rows = open_rows.withColumn("hub", hub).join(texts, "node").select("bucket", "hub", "comp", "text", "node")
+    own = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
+    heads = rows.where("hub").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    both = heads.union(rows.withColumn("hub", F.lit(False)).withColumn("salt", own)).drop("node")
+    both = both.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", F.col("hub").desc())
+
+    def stream(batches: Iterator) -> Iterator:
+        here, known, root = None, [], {}
+
+        def find(c):
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+        for whole in batches:
+            for batch in slices(whole, 4, 1 << 17):
+                out = []
+                for bucket, is_hub, comp, salt, w in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4)):
+                    if (bucket, salt) != here:
+                        here, known, root = (bucket, salt), [], {}
+                    h, _ = shingles(np.asarray(w.values).view(np.uint64), np.array([len(w)]))
+                    x, n = np.unique(h, return_counts=True)
+                    if is_hub:
+                        known.append((comp, x, n, int(n.sum())))
+                        continue
+                    total = int(n.sum())
+                    for other, y, m, size in known:
+                        if min(total, size) < least * max(total, size) or find(comp) == find(other):
+                            continue
+                        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                        both_ = int(np.minimum(n, m[at])[y[at] == x].sum())
+                        if both_ >= least * (total + size - both_):
+                            root[find(comp)] = find(other)
+                            out.append((min(comp, other), max(comp, other)))
+                yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.binary()) for i in (0, 1)], ["x", "y"])
+
+    return both.select("bucket", "hub", "comp", "salt", word_hashes().alias("w")).mapInArrow(stream, "x binary, y binary").distinct()
 
 
 def ids() -> Column:

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.llm.common import LEAST_ID, SPACE, slices, stored, text_of, window_hashes, word_hashes
+from rootloom.llm.common import LEAST_ID, SPACE, slices, small_batches, stored, text_of, window_hashes, word_hashes
 
 LENGTH, PERIOD = 50, 31
 SLOTS = 2 ** 20
@@ -176,6 +176,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, period: int = PERIOD
     """(id, tag, a, b): of each row, the windows a to b that a smaller id has too."""
     if not 1 < period <= length or bits & (bits - 1) or bits < 2 ** 15:
         raise ValueError("the period must lie between 2 and the length, bits must be a power of two from 2^15 on")
+    small_batches(docs.sparkSession)
     cover, context = difference_cover(period), docs.sparkSession.sparkContext
     shift = 64 - bits.bit_length() + 1
     rows = docs.select(*identity(), word_hashes().alias("w"))
