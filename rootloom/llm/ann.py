@@ -9,7 +9,8 @@ are merged and ranked by the exact distance, in double precision on the original
 Equal vectors are one point of the index with their smallest ids (one more than asked for: the query itself may be
 among them), which loses nothing, as equal distances go by id. The slot width is `width` times the spread of the projections,
 measured over all vectors. Points meet queries in (table, bucket) groups: the points of a bucket are dealt out over
-`salts` tasks, the queries of the bucket go to each of them, both sides are read in blocks, and only the best of a block leave a task. A query
+`salts` tasks, the queries of the bucket go to each of them, both sides are read in blocks. A task
+merges what a query finds in all its buckets and passes on the k best; beyond `most_queries` queries it passes them on earlier. A query
 whose buckets hold fewer than k points is compared with all points instead.
 
 Defined cases: vectors that are null, zero, of another length than most or with null or non-finite components take no
@@ -96,7 +97,7 @@ class Hashes:
 
 
 def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int = 6, functions: int = 6, probes: int = 64, width: float = 1.9,
-               salts: int = 8, block: int = 2048) -> DataFrame:
+               salts: int = 8, block: int = 2048, most_queries: int = 8192) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query; queries are the ids divisible by `every`."""
     rows = stored(usable(vectors), "vectors")
     first = rows.select("v").limit(1).collect()
@@ -150,13 +151,21 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int =
 
     def nearest(batches: Iterator) -> Iterator:
         here, ids, asked_v = None, [], []
+        best: dict = {}  # query: [distance beyond which nothing counts, {id: distance}]
+
+        def rows_of():
+            out = [(n, x, d) for n, (_, found) in best.items() for d, x in heapq.nsmallest(k, ((d, x) for x, d in found.items()))]
+            best.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))],
+                                              ["query_id", "vec_id", "score"])
+
         for whole in batches:
             for at in range(0, whole.num_rows, block):
                 batch = whole.slice(at, block)
                 keys = list(zip(*(batch.column(i).to_pylist() for i in range(3))))
                 query = batch.column(3).to_pylist()
                 v, own = matrix(batch.column(4)), batch.column(5).to_pylist()
-                a, out = 0, {}
+                a = 0
                 while a < len(keys):
                     b = a
                     while b < len(keys) and keys[b] == keys[a] and (query[b] is None) == (query[a] is None):
@@ -167,18 +176,26 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, tables: int =
                         ids += query[a:b]
                         asked_v.append(v[a:b])
                     elif ids:
-                        q = np.concatenate(asked_v)
+                        if len(asked_v) > 1:
+                            asked_v = [np.concatenate(asked_v)]
                         for n, own_id in enumerate(ids):
-                            d = np.sqrt(np.square(v[a:b] - q[n]).sum(axis=1))
-                            some = np.argpartition(d, 2 * k)[:2 * k] if len(d) > 2 * k else np.arange(len(d))
-                            limit = d[some].max() if len(d) > 2 * k else np.inf
-                            some = np.flatnonzero(d <= limit)
-                            out.setdefault(own_id, []).extend((float(d[i]), x) for i in some for x in own[a + i] if x != own_id)
+                            mine = best.setdefault(own_id, [np.inf, {}])
+                            d = np.sqrt(np.square(v[a:b] - asked_v[0][n]).sum(axis=1))
+                            limit = mine[0]
+                            if len(d) > 2 * k:  # points have an id besides the query's, but for one
+                                limit = min(limit, np.partition(d, 2 * k)[2 * k])
+                            for i in np.flatnonzero(d <= limit):
+                                for x in own[a + i]:
+                                    if x != own_id:
+                                        mine[1][x] = min(float(d[i]), mine[1].get(x, np.inf))
+                            if len(mine[1]) > 4 * k:
+                                kept = heapq.nsmallest(k, ((d, x) for x, d in mine[1].items()))
+                                mine[:] = [kept[-1][0], {x: d for d, x in kept}]
+                            if len(best) >= most_queries:
+                                yield rows_of()
                     a = b
-                best = [(n, *x) for n, found in out.items() for x in heapq.nsmallest(k, found)]
-                if best:
-                    yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in best], kind) for i, kind in ((0, pa.int64()), (2, pa.int64()), (1, pa.float64()))],
-                                                     ["query_id", "vec_id", "score"])
+        if best:
+            yield rows_of()
 
     def search(asked, stock):
         met = dealt(asked, stock).mapInArrow(nearest, "query_id long, vec_id long, score double")
