@@ -28,12 +28,16 @@ def build_session(app: str = "rootloom", master: str | None = None, partitions:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; a local one only when none is set."""
+    """Use the shared folder the cluster names; a folder of this machine only where Spark runs in this one process."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    if folder is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+    sc.setCheckpointDir(folder)
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
