@@ -130,11 +130,13 @@ def resolve_cross_refs(xref: DataFrame, entries: DataFrame, profile: Profile) ->
 
 
 def cycle_check(edges: DataFrame, source: str = "src", target: str = "dst") -> DataFrame:
-    """Edges that survive peeling: non-empty exactly when the graph has a cycle.
+    """Edges that lie on a cycle.
 
-    Each round drops edges into dead ends and out of nodes nothing points to.
-    Rounds are checkpointed, so a lost executor never replays the whole loop, and
-    run until nothing more can be dropped.
+    Peeling first drops edges into dead ends and out of nodes nothing points to, which ends the job
+    on a graph without cycles. Of what is left, an edge goes when its ends differ in the least node
+    that reaches them, or in the least node that they reach, until none does: then every connected
+    part is reached by its least node and reaches it. Rounds are checkpointed, so a lost executor
+    never replays the whole loop.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
@@ -149,9 +151,32 @@ def cycle_check(edges: DataFrame, source: str = "src", target: str = "dst") -> D
         left, size, before = peeled, now, size
         if now == before:
             break
+    while size:
+        before = size
+        for a, b in (("src", "dst"), ("dst", "src")):
+            least = _least_reaching(left, a, b)
+            ends = left.join(least.select(F.col("node").alias("src"), F.col("least").alias("p")), "src")
+            ends = ends.join(least.select(F.col("node").alias("dst"), F.col("least").alias("q")), "dst")
+            left = ends.where("p = q").select("src", "dst").checkpoint()
+        size = left.count()
+        if size == before:
+            break
     return left
 
 
+def _least_reaching(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, least): the least node from which edges read from a to b lead to the node, itself included."""
+    nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
+    labels = nodes.select("node", F.col("node").alias("least")).checkpoint()
+    while True:
+        offered = edges.join(labels.withColumnRenamed("node", a), a).select(F.col(b).alias("node"), "least")
+        both = labels.withColumn("old", F.col("least")).unionByName(offered, allowMissingColumns=True)
+        found = both.groupBy("node").agg(F.min("least").alias("least"), F.max("old").alias("old")).checkpoint()
+        labels = found.select("node", "least")
+        if found.where("least < old").isEmpty():
+            return labels
+
+
 def entry_cycle_residuals(edges: DataFrame) -> DataFrame:
     """Entries that take part in a reference cycle."""
     return cycle_check(edges).select(F.col("src").alias("node")).distinct().withColumn(
