@@ -10,7 +10,7 @@ belongs to a hashed coordinate; the earliest dart of each coordinate is the sign
 the rank limit doubles.
 
 Documents with the same words are one node. Nodes that agree in a whole band meet in a bucket. Within a bucket
-candidates are formed in rounds, never as all pairs: first everybody with one hub; then buckets whose members are still in
+candidates are formed in rounds, never as all pairs: first everybody with the hub it shares most bands with; then buckets whose members are still in
 different components take a few further hubs a round, until each bucket is one component or every member has been a hub.
 A pair left out was already connected, so no link between components is lost. Each candidate is verified on
 the whole texts; from the second round on inside the tasks, where members stream past the hubs. Links are contracted to components in Spark.
@@ -167,14 +167,19 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows:
     small_batches(docs.sparkSession)
     keys = band_rows(docs, bands, rows).distinct()
     keys = stored(keys, "bands")
-    shared = keys.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("n")).where("hub < last")
-    members = stored(keys.join(shared.select("bucket", "hub", "n"), "bucket"), "members")
+    # buckets with the same members say the same: one of them is kept
+    one, two = F.bit_xor(F.xxhash64("node")).alias("m1"), F.bit_xor(F.xxhash64(F.lit("second"), "node")).alias("m2")
+    shared = keys.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("n"), one, two).where("hub < last")
+    shared = shared.groupBy("m1", "m2", "n", "hub").agg(F.min("bucket").alias("bucket"), F.count("*").alias("same"))
+    members = stored(keys.join(shared.select("bucket", "hub", "n", "same"), "bucket"), "members")
     nodes = members.select("node").distinct()
     slot = F.pmod(F.xxhash64("node"), F.lit(SLOTS)).cast("int").alias("slot")
     near = docs.select(node().alias("node"), text_of().alias("text")).withColumn("slot", slot)
     near = near.join(F.broadcast(nodes.select(slot).distinct()), "slot", "left_semi")  # at most SLOTS numbers
     texts = stored(near.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi"), "texts")
-    pairs = stored(members.where("node != hub").select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct(), "pairs")
+    shares = members.where("node != hub").groupBy("node", "hub").agg(F.sum("same").alias("n"))
+    nearest = shares.groupBy("node").agg(F.min(F.struct(-F.col("n"), "hub")).alias("best"))  # the hub of most bands
+    pairs = stored(nearest.select(F.col("best.hub").alias("x"), F.col("node").alias("y")), "pairs")
     links, turn = stored(verified(pairs, texts, least), "links"), 1
     labels = components(nodes, links)
     open_ = members.select("bucket", "node", F.ceil(F.col("n") / hubs).alias("turns"))
@@ -195,14 +200,15 @@ def near_classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows:
 def links_in_buckets(open_rows: DataFrame, texts: DataFrame, turn: int, least: float, salts: int = 8) -> DataFrame:
     """(x, y): components that a hub of this turn connects with another member of its bucket.
 
-    The members of a bucket are dealt out over `salts` tasks; each reads the hubs first and streams the members past
-    them, verifying on the whole texts. No pair is a row: only links between different components leave a task.
+    The members of a bucket are dealt out over its number of turns, at most `salts` tasks; each reads the hubs first,
+    compares them with each other, and streams the other members past them, verifying on the whole texts. No pair is a
+    row: only links between different components leave a task.
     """
     hub = F.pmod(F.xxhash64("node", "bucket"), F.col("turns")) + 1 == turn
-    rows = open_rows.withColumn("hub", hub).join(texts, "node").select("bucket", "hub", "comp", "text", "node")
-    own = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
-    heads = rows.where("hub").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    both = heads.union(rows.withColumn("hub", F.lit(False)).withColumn("salt", own)).drop("node")
+    tasks = F.least("turns", F.lit(salts)).cast("int")
+    rows = open_rows.select("bucket", "comp", "node", hub.alias("hub"), tasks.alias("tasks")).join(texts, "node")
+    everywhere, own = F.sequence(F.lit(0), F.col("tasks") - 1), F.array(F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int"))
+    both = rows.withColumn("salt", F.explode(F.when(F.col("hub"), everywhere).otherwise(own)))
     both = both.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", F.col("hub").desc())
 
     def stream(batches: Iterator) -> Iterator:
@@ -220,9 +226,6 @@ def links_in_buckets(open_rows: DataFrame, texts: DataFrame, turn: int, least: f
                         here, known, root = (bucket, salt), [], {}
                     h, _ = shingles(np.asarray(w.values).view(np.uint64), np.array([len(w)]))
                     x, n = np.unique(h, return_counts=True)
-                    if is_hub:
-                        known.append((comp, x, n, int(n.sum())))
-                        continue
                     total = int(n.sum())
                     for other, y, m, size in known:
                         if min(total, size) < least * max(total, size) or find(comp) == find(other):
@@ -232,6 +235,8 @@ def links_in_buckets(open_rows: DataFrame, texts: DataFrame, turn: int, least: f
                         if both_ >= least * (total + size - both_):
                             root[find(comp)] = find(other)
                             out.append((min(comp, other), max(comp, other)))
+                    if is_hub:
+                        known.append((comp, x, n, total))
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.binary()) for i in (0, 1)], ["x", "y"])
 
     return both.select("bucket", "hub", "comp", "salt", word_hashes().alias("w")).mapInArrow(stream, "x binary, y binary").distinct()
