@@ -80,7 +80,7 @@ class Tables:
             F.regexp_extract("text", r"^[^.\n]*", 0).alias("root_heading_text"),
             F.when(F.col("n_chars") % 97 == 0, "").otherwise(letters).alias("root_letters"), chapter.alias("bab_letter"),
             label.alias("semantic_origin_type"),
-            F.nullif(F.regexp_extract("text", r"[.]\s+([^.\n]{3,200})", 1), F.lit("")).alias("semantic_origin_text"),
+            F.nullif(F.regexp_extract("text", r"[.]\s+([^.\n]{3,})", 1), F.lit("")).alias("semantic_origin_text"),
             count.cast("long").alias("origin_count"),
             F.when(F.col("quality") == 1, "AUTO_AGREED").when(F.col("quality") == 0, "REVIEW_REQUIRED").otherwise("")
             .alias("review_status"),
