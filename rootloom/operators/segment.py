@@ -123,7 +123,8 @@ def segment_entries(pages: DataFrame, pack: LinePack, book: str = "book", page:
 
     An entry of more than ``max_entry_lines`` lines stays whole but is kept as
     several rows (``part`` 0, 1, …), one per block of pages, so that no single row
-    or task has to hold it.
+    or task has to hold it.  An entry without any body line is left out; a part of
+    footnotes only stays when another part of its entry has a body.
     """
     lines = entry_lines(pages, pack, book, page, text, pages_per_block)
     item = F.struct("page_num", "pos", "line", "role", "refs")
@@ -132,7 +133,9 @@ def segment_entries(pages: DataFrame, pack: LinePack, book: str = "book", page:
         F.array_sort(F.collect_list(item)).alias("items"),
         F.min(F.when(F.col("opener").isNotNull(), head)).alias("head"))
     whole = Window.partitionBy("book", "entry_num")
+    has_body = F.exists("items", lambda x: x["role"] != "footnote")  # lines are never blank
     parts = (parts.withColumn("total", F.sum(F.size("items")).over(whole))
+             .withColumn("filled", F.max(has_body).over(whole)).where("filled")
              .withColumn("part_block", F.when(F.col("total") > max_entry_lines, F.col("block"))))
     merged = parts.groupBy("book", "entry_num", "part_block").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "items"))),
@@ -160,8 +163,7 @@ def segment_entries(pages: DataFrame, pack: LinePack, book: str = "book", page:
                 pick("footnote").alias("footnote_lines"),
                 F.flatten(F.transform("items", lambda x: F.coalesce(
                     x["refs"], F.array().cast("array<string>")))).alias("page_refs"),
-                F.array_distinct(F.transform("items", lambda x: x["page_num"])).alias("raw_page_nums"))
-            .where(strip_ws(F.col("body_text")) != ""))
+                F.array_distinct(F.transform("items", lambda x: x["page_num"])).alias("raw_page_nums")))
 
 
 def lexical_only(entries: DataFrame) -> DataFrame:

@@ -2,13 +2,27 @@
 
 import pytest
 
+from rootloom.operators import segment
 from rootloom.plans.bindings import Tables
+from rootloom.rules import arabic
 from tests.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 CUT, WHOLE = "[^.\\n]{3,200}", "[^.\\n]{3,}"
 
 
+def test_footnote_only_parts_stay(spark):
+    pages = [(1, 1, "[خبز]\nالخاء والباء والزاء أصل واحد"), (1, 2, "(١) حاشية أولى"), (1, 3, "سطر آخر (ص٤٥)"), (1, 4, "(٢) حاشية ثانية")]
+    df = spark.createDataFrame(pages, "book long, page_num long, text string")
+    whole = segment.segment_entries(df, arabic.LINES, pages_per_block=1).collect()
+    parts = segment.segment_entries(df, arabic.LINES, pages_per_block=1, max_entry_lines=1).orderBy("part").collect()
+    assert len(whole) == 1 and [p.part for p in parts] == [0, 1, 2, 3]
+    for name in ("poetry_lines", "footnote_lines", "page_refs", "raw_page_nums"):
+        assert [x for p in parts for x in p[name]] == whole[0][name]
+    assert "".join(p.body_text for p in parts) == whole[0].body_text and len(whole[0].footnote_lines) == 2
+    assert {p.root_display for p in parts} == {whole[0].root_display}
+
+
 def test_long_sentence_is_read_whole(spark, tmp_path):
     words = "word " * 60
     spark.createDataFrame([(1, f"head. {words}end\nnext", "src1", "en", 22), (2, "head. short. x", "src1", "en", 22)],
