@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-HASH_BLOCK_LINES = 65_536
 HASH_FANOUT = 4_096
 
 
@@ -13,13 +16,18 @@ def page_counts(pages: DataFrame, source: str = "source_pdf") -> DataFrame:
 
 
 def volume_content_hash(lines: DataFrame, source: str = "source_pdf", order: str = "line_no",
-                        raw: str = "raw", block_lines: int = HASH_BLOCK_LINES) -> DataFrame:
+                        raw: str = "raw", block_lines: int | None = None) -> DataFrame:
     """SHA-256 of each volume's raw lines in order.
 
-    Up to ``block_lines`` line numbers this is the hash of the joined lines.  A
-    longer volume is hashed as a tree (blocks, groups of blocks, root), because one
-    running hash would pull the whole volume through one task.
+    At every size and numbering this is the hash of the joined lines.  A running
+    hash can't be split: each volume passes through one task, sorted on disk and
+    read in Arrow batches, so memory doesn't follow the volume but time does.
+    Only a caller that gives ``block_lines`` gets a tree of hashes (blocks of so many line
+    numbers, groups of blocks, root), whose value then depends on the numbering.
     """
+    if block_lines is None:
+        return _running_hash(lines.select(source, order, raw), source, order, raw)
+
     def joined(order_col: str, value: str):
         items = F.array_sort(F.collect_list(F.struct(F.col(order_col), F.col(value))))
         return F.array_join(F.transform(items, lambda x: x[value]), "")
@@ -37,6 +45,30 @@ def volume_content_hash(lines: DataFrame, source: str = "source_pdf", order: str
     return level.select(source, F.col("hash").alias("sha256"))
 
 
+def _running_hash(lines: DataFrame, source: str, order: str, raw: str) -> DataFrame:
+    kind = lines.select(source).schema.fields[0].dataType
+    rows = (lines.repartition(source).sortWithinPartitions(source, order, raw)
+            .select(source, F.coalesce(F.col(raw).cast("string"), F.lit("")).cast("binary").alias("raw")))
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        volume = running = None
+
+        def done():
+            return pa.RecordBatch.from_arrays([volume, pa.array([running.hexdigest()])], [source, "sha256"])
+        for batch in batches:
+            keys = batch.column(0)
+            for i in range(batch.num_rows):
+                if running is None or keys[i].as_py() != volume[0].as_py():
+                    if running is not None:
+                        yield done()
+                    volume, running = keys.slice(i, 1), hashlib.sha256()
+                running.update(batch.column(1)[i].as_buffer())
+        if running is not None:
+            yield done()
+
+    return rows.mapInArrow(digests, f"`{source}` {kind.simpleString()}, sha256 string")
+
+
 def source_records(volumes: DataFrame, counts: DataFrame, hashes: DataFrame,
                    corpus_hash: str = "", namespace: str = "lex") -> DataFrame:
     """Volume dimension with counts and hashes; absent volumes give no record."""

@@ -1,8 +1,10 @@
 """Whole results where sizes or limits used to cut them."""
 
+import hashlib
+
 import pytest
 
-from rootloom.operators import segment
+from rootloom.operators import segment, volumes
 from rootloom.plans.bindings import Tables
 from rootloom.rules import arabic
 from tests.compare import compare, connect
@@ -23,6 +25,21 @@ def test_footnote_only_parts_stay(spark):
     assert {p.root_display for p in parts} == {whole[0].root_display}
 
 
+@pytest.mark.parametrize("first", (0, 65_530, 1_000_000))
+def test_volume_hash_has_one_form(spark, first):
+    lines = [("v", first + i, f"line {i}\n" if i != 7 else None) for i in range(15)] + [("w", 5, "one\n"), (None, 1, "x")]
+    lines += [("far", i * 70_000, f"é{i}") for i in range(9)]
+    df = spark.createDataFrame(lines, "source_pdf string, line_no long, raw string").repartition(4)
+    want = {s: hashlib.sha256("".join(x[2] or "" for x in lines if x[0] == s).encode()).hexdigest() for s in ("v", "w", "far", None)}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = volumes.volume_content_hash(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 4 and {r.source_pdf: r.sha256 for r in got} == want
+    assert volumes.volume_content_hash(df.limit(0)).collect() == []
+
+
 def test_long_sentence_is_read_whole(spark, tmp_path):
     words = "word " * 60
     spark.createDataFrame([(1, f"head. {words}end\nnext", "src1", "en", 22), (2, "head. short. x", "src1", "en", 22)],
