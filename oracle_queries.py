@@ -977,6 +977,11 @@ sql("Q7_CONCEPT_TO_ROOT_SEARCH", """SELECT q.request_id, h.entry_id IS NOT NULL
 sql("Q8_SEMANTIC_REVERSE_SEARCH", """SELECT q.request_id, h.entry_id IS NOT NULL AS found, h.entry_id, h.match_type FROM c8_asks q LEFT JOIN c8_hits h USING (request_id)""")
 sql("Q26_find_roots_by_concept", """SELECT request_id, entry_id, match_type, matched_axis FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY
   match_type = 'ROOT_SEMANTICALLY_SIMILAR', entry_id) AS k FROM c7_hits) WHERE k <= 20""")
+cte("c26_axis", """SELECT q.request_id, x.entry_id, arg_min(x.axis_text, x.axis_num) AS matched_axis FROM c7_asks q JOIN axis_rows x ON
+  contains(x.axis_text, q.concept) OR (q.nc <> '' AND contains(x.axis_text, q.nc)) GROUP BY q.request_id, x.entry_id""")
+sql("Q26_find_roots_by_concept_all", """SELECT request_id, entry_id, 'ROOT_EXPLICITLY_LINKED_BY_IBN_FARIS' AS match_type, matched_axis FROM c26_axis UNION ALL
+  SELECT q.request_id, d.doc_id, 'ROOT_SEMANTICALLY_SIMILAR', NULL FROM c7_asks q JOIN documents d ON contains(d.text, q.concept)
+  WHERE NOT EXISTS (SELECT 1 FROM c26_axis x WHERE x.request_id = q.request_id AND x.entry_id = d.doc_id)""")
 _kinds = [*sorted(HANDLERS), *sorted(ALIASES), "SOMETHING_ELSE"]
 sql("Q21_stats", """SELECT 'total_entries' AS metric, count(*) AS value FROM enriched UNION ALL SELECT 'total_axes', count(*) FROM axis_rows
   UNION ALL SELECT 'total_poetry_lines', CAST(sum(len(poetry_lines)) AS BIGINT) FROM enriched UNION ALL SELECT 'type:' || entry_type, count(*) FROM enriched GROUP BY entry_type""")

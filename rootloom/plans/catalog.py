@@ -1126,7 +1126,10 @@ _ask("Q24_root_claims", rq.root_claims, lambda: ["request_id", "entry_id", "clai
      "claim_type", "evidence"])
 _ask("Q25_evidence_ids_v2", rq.evidence_ids_v2, lambda: ["request_id", "evidence_id"])
 _ask("Q26_check_claim", rq.check_claim, lambda: ["request_id", "claim_status"])
-_ask("Q26_find_roots_by_concept", rq.find_roots_by_concept, lambda: ["request_id", "entry_id", "match_type", "matched_axis"])
+_ask("Q26_find_roots_by_concept", rq.find_roots_by_concept, lambda: ["request_id", "entry_id", "match_type", "matched_axis"],
+     limit=lambda t: 20)
+_ask("Q26_find_roots_by_concept_all", rq.find_roots_by_concept, lambda: ["request_id", "entry_id", "match_type", "matched_axis"],
+     axis_limit=lambda t: None, body_limit=lambda t: None)
 _ask("Q7_CONCEPT_TO_ROOT_SEARCH", rq.concept_to_root_search, lambda: ["request_id", "found", "query_status", "entry_id",
      "match_type", "matched_axis"])
 

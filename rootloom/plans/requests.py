@@ -233,10 +233,18 @@ def _containing(texts: DataFrame, text: str, key: list[str], wanted: DataFrame,
     return candidates.join(texts, key).where(verified).drop(text)
 
 
+def _first(rows: DataFrame, limit: int | None, *order) -> DataFrame:
+    """The first ``limit`` rows of each request; None keeps all and sorts nothing."""
+    if limit is None:
+        return rows
+    place = F.row_number().over(Window.partitionBy("request_id").orderBy(*order))
+    return rows.withColumn("rn", place).where(F.col("rn") <= limit)
+
+
 def concept_to_root_search(requests: DataFrame, entries: DataFrame, profile: Profile,
-                           axis_limit: int = AXIS_LIMIT, body_limit: int = BODY_LIMIT) -> DataFrame:
+                           axis_limit: int | None = AXIS_LIMIT, body_limit: int | None = BODY_LIMIT) -> DataFrame:
     """Axis hits (first ``axis_limit`` by entry), then body hits (``body_limit``); an
-    entry counts once, axis before body.  Limits are the query's own."""
+    entry counts once, axis before body.  Limits are the query's own; None is no limit."""
     table = whole(entries)
     concept = concept_of(requests)
     asked = requests.withColumn("concept", concept)
@@ -248,8 +256,7 @@ def concept_to_root_search(requests: DataFrame, entries: DataFrame, profile: Pro
         F.col("a.axis_text").alias("axis_text"), F.col("a.axis_text").alias("searched"),
         F.col("a.attribution").alias("attribution"))
     hits = _containing(axes, "searched", ["entry_id", "axis_num"], axis_keys).drop("needle").distinct()
-    by_entry = Window.partitionBy("request_id").orderBy("entry_id", "axis_num")
-    hits = hits.withColumn("rn", F.row_number().over(by_entry)).where(F.col("rn") <= axis_limit)
+    hits = _first(hits, axis_limit, "entry_id", "axis_num")
     axis_rows = hits.groupBy("request_id", "entry_id").agg(F.min(F.struct(
         "axis_num", "axis_text", "attribution", "root_letters", "root_display")).alias("h")).select(
         "request_id", "entry_id", "h.root_letters", "h.root_display",
@@ -259,8 +266,7 @@ def concept_to_root_search(requests: DataFrame, entries: DataFrame, profile: Pro
     body = _containing((entries.rows if isinstance(entries, EntryTable) else entries).select(
         "entry_id", "root_letters", "root_display", "body_text"),
                        "body_text", ["entry_id"], body_keys)
-    order = Window.partitionBy("request_id").orderBy("entry_id")
-    body = body.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= body_limit)
+    body = _first(body, body_limit, "entry_id")
     body_rows = body.join(axis_rows.select("request_id", "entry_id"), ["request_id", "entry_id"], "left_anti").select(
         "request_id", "entry_id", "root_letters", "root_display", F.lit(V.MATCH_BY_BODY).alias("match_type"),
         F.lit(None).cast("string").alias("matched_axis"))
@@ -275,11 +281,11 @@ def semantic_reverse_search(requests: DataFrame, entries: DataFrame, profile: Pr
     return concept_to_root_search(requests, entries, profile, **limits)
 
 
-def find_roots_by_concept(requests, entries, profile, limit: int = 20) -> DataFrame:
-    rows = concept_to_root_search(requests, entries, profile).where("found")
-    order = Window.partitionBy("request_id").orderBy(
-        (F.col("match_type") == V.MATCH_BY_BODY).cast("int"), "entry_id")
-    return rows.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= limit).select(
+def find_roots_by_concept(requests, entries, profile, limit: int | None = None, axis_limit: int | None = AXIS_LIMIT,
+                          body_limit: int | None = BODY_LIMIT) -> DataFrame:
+    """All hits of the search, or the first ``limit`` of each request; None is no limit."""
+    rows = concept_to_root_search(requests, entries, profile, axis_limit, body_limit).where("found")
+    return _first(rows, limit, (F.col("match_type") == V.MATCH_BY_BODY).cast("int"), "entry_id").select(
         "request_id", "entry_id", "root_letters", "root_display", "match_type", "matched_axis")
 
 

@@ -5,11 +5,13 @@ import hashlib
 import pytest
 
 from rootloom.operators import segment, volumes
+from rootloom.plans import requests as rq
 from rootloom.plans.bindings import Tables
-from rootloom.rules import arabic
+from rootloom.rules import arabic, latin
 from tests.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
+LOOKUP = latin.PROFILES["lookup"]
 CUT, WHOLE = "[^.\\n]{3,200}", "[^.\\n]{3,}"
 
 
@@ -40,6 +42,27 @@ def test_volume_hash_has_one_form(spark, first):
     assert volumes.volume_content_hash(df.limit(0)).collect() == []
 
 
+def test_concept_search_limits(spark):
+    rows = [(i, i, f"r{i}", f"R{i}", f"key body {i}", [(1, "key axis" if i < 120 else "none", "IBN_FARIS_DIRECT")]) for i in range(200)]
+    entries = spark.createDataFrame(rows, "entry_id long, entry_num long, root_letters string, root_display string, "
+                                          "body_text string, axes array<struct<axis_num:int,axis_text:string,attribution:string>>")
+    asks = spark.createDataFrame([(0, "key")], "request_id long, concept string")
+
+    def found(**limits):
+        return sorted(r.entry_id for r in rq.find_roots_by_concept(asks, entries, LOOKUP, **limits).collect())
+    free = {"axis_limit": None, "body_limit": None}
+    assert found(**free) == list(range(200)) and found(limit=150, **free) == list(range(150))
+    assert found() == list(range(50)) and found(limit=20) == list(range(20))
+    assert found(axis_limit=10, body_limit=30) == list(range(30)) and found(axis_limit=None) == list(range(120))
+
+
+def test_unlimited_concept_search_against_sql(spark):
+    from oracle_queries import SQL
+    from rootloom.plans.catalog import QUERIES
+    name = "Q26_find_roots_by_concept_all"
+    assert compare(spark, connect(FOLDER), FOLDER, name, QUERIES[name], SQL[name]) is None
+
+
 def test_long_sentence_is_read_whole(spark, tmp_path):
     words = "word " * 60
     spark.createDataFrame([(1, f"head. {words}end\nnext", "src1", "en", 22), (2, "head. short. x", "src1", "en", 22)],
