@@ -5,7 +5,8 @@ A document's bytes are cut into overlapping chunks that cover all of it. Each by
 largest and the mean of each feature are combined into one probability that a reader would label it good.
 
 The filters, vectors and weights are fitted by Adam on a bounded sample of labelled rows: at most `per_class` rows per label, in hash
-order, weighted back to the counts over all labelled rows, and at most `train_chunks` evenly spaced chunks of each.
+order, weighted back to the counts over all labelled rows. Equal texts of an id count once. Every chunk of a sampled text is learned
+from; should the texts of a label exceed `most_bytes`, whole rows are left out in the order of a hash of id and text.
 Scoring has no bound: it runs inside the tasks over every chunk of every text.
 
 Defined cases: null and empty texts are one chunk of padding and get a score; labels without a text or quality are not
@@ -15,14 +16,13 @@ are never learned from; an empty table stays empty. Only the text enters a score
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.llm.common import text_of
+from rootloom.llm.common import stored, text_of
 
 
 @dataclass(frozen=True)
@@ -89,23 +89,28 @@ class Network:
         chunks = np.concatenate(parts)
         sizes = np.array([len(p) for p in parts])
         owner = np.repeat(np.arange(len(parts)), sizes)
-        seen = self.windows(chunks)
-        answers = seen @ self.p["filters"]
-        best = answers.argmax(axis=1)
-        top = np.take_along_axis(answers, best[:, None], 1)[:, 0] + self.p["shift"]
-        f = np.tanh(top)
+        pieces = [slice(i, i + 64) for i in range(0, len(chunks), 64)]  # windows are far larger than chunks
+        best, top = [], []
+        for i in pieces:
+            answers = self.windows(chunks[i]) @ self.p["filters"]
+            best.append(answers.argmax(axis=1))
+            top.append(np.take_along_axis(answers, best[-1][:, None], 1)[:, 0])
+        best, f = np.concatenate(best), np.tanh(np.concatenate(top) + self.p["shift"])
         peak = np.maximum.reduceat(f, begins)
         both = np.concatenate([peak, np.add.reduceat(f, begins) / sizes[:, None]], axis=1)
         logit = both @ self.p["weights"] + self.p["bias"][0]
         error = (weights * (1 / (1 + np.exp(-logit)) - labels) / weights.sum()).astype(np.float32)
         w_peak, w_mean = np.split(self.p["weights"], 2)
         d = error[owner][:, None] * (w_mean / sizes[owner][:, None] + w_peak * (f == peak[owner])) * (1 - f * f)
-        at = seen[np.arange(len(chunks))[:, None], best]  # chunk, filter, window
-        back = d[:, :, None] * self.p["filters"].T[None]
-        bytes_at = chunks[np.arange(len(chunks))[:, None, None], best[:, :, None] * s.stride + np.arange(s.width)].ravel()
-        flat = back.reshape(-1, s.vector)
-        vectors = np.stack([np.bincount(bytes_at, flat[:, i], 256) for i in range(s.vector)], axis=1)
-        grads = {"vectors": vectors, "filters": np.einsum("cf,cfw->wf", d, at), "shift": d.sum(0), "weights": both.T @ error, "bias": error.sum(keepdims=True)}
+        vectors, filters = np.zeros((256, s.vector)), np.zeros_like(self.p["filters"])
+        for i in pieces:
+            part = chunks[i]
+            bytes_at = part[np.arange(len(part))[:, None, None], best[i][:, :, None] * s.stride + np.arange(s.width)]
+            at = self.p["vectors"][bytes_at].reshape(len(part), s.filters, -1)  # chunk, filter, window
+            flat = (d[i][:, :, None] * self.p["filters"].T[None]).reshape(-1, s.vector)
+            vectors += np.stack([np.bincount(bytes_at.ravel(), flat[:, j], 256) for j in range(s.vector)], axis=1)
+            filters += np.einsum("cf,cfw->wf", d[i], at)
+        grads = {"vectors": vectors, "filters": filters, "shift": d.sum(0), "weights": both.T @ error, "bias": error.sum(keepdims=True)}
         self.steps += 1
         for k, g in grads.items():
             m, v = self.moments[k]
@@ -114,7 +119,7 @@ class Network:
             self.p[k] -= (rate * (m / (1 - 0.9 ** self.steps)) / (np.sqrt(v / (1 - 0.999 ** self.steps)) + 1e-7)).astype(np.float32)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, shape: Shape, per_class: int, train_chunks: int):
+def training_rows(docs: DataFrame, labels: DataFrame, shape: Shape, per_class: int, most_bytes: int, buckets: int = 4096):
     """(chunks, label, weight) of the bounded sample, in a fixed order."""
     usable = labels.where((fold() != 0) & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col("quality").cast("int").alias("quality"))
@@ -124,23 +129,28 @@ def training_rows(docs: DataFrame, labels: DataFrame, shape: Shape, per_class: i
         some = usable.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = some if chosen is None else chosen.union(some)
 
-    def sampled(batches: Iterator) -> Iterator:
-        for batch in batches:
-            ids, texts, marks = (c.to_pylist() for c in batch.columns)
-            parts = [chunks_of(t, shape, train_chunks).tobytes() for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(parts, pa.binary()), pa.array(marks, pa.int32())], ["doc_id", "chunks", "quality"])
-
     rows = docs.select("doc_id", text_of().cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")  # 2 x per_class ids at most
-    rows = rows.select(F.col("doc_id").cast("long"), "text", "quality").mapInArrow(sampled, "doc_id long, chunks binary, quality int")
-    rows = sorted(rows.limit(4 * per_class).collect(), key=lambda r: (r["doc_id"], r["quality"], bytes(r["chunks"])))
+    rows = rows.select(F.col("doc_id").cast("long"), "text", "quality").distinct()
+    rows = stored(rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets))), "quality-sample")
+    sizes = rows.groupBy("quality", "bucket").agg(F.sum(F.length("text")).alias("bytes")).collect()  # 2 x buckets rows at most
+    fits, total = F.lit(False), {0: 0, 1: 0}
+    for q in (0, 1):
+        end = 0
+        for r in sorted((r for r in sizes if r["quality"] == q), key=lambda r: r["bucket"]):
+            total[q] += r["bytes"]
+            if total[q] > most_bytes:
+                break
+            end = r["bucket"] + 1
+        fits = fits | ((F.col("quality") == q) & (F.col("bucket") < end))
+    rows = sorted(rows.where(fits).collect(), key=lambda r: (r["doc_id"], r["quality"], bytes(r["text"])))
     have = {q: sum(r["quality"] == q for r in rows) for q in (0, 1)}
-    return [(np.frombuffer(r["chunks"], np.uint8).reshape(-1, shape.chunk), r["quality"], counts[r["quality"]] / have[r["quality"]]) for r in rows], counts
+    return [(chunks_of(bytes(r["text"]), shape), r["quality"], counts[r["quality"]] / have[r["quality"]]) for r in rows], counts
 
 
-def fit(docs: DataFrame, labels: DataFrame, shape: Shape = Shape(), per_class: int = 2500, train_chunks: int = 6, epochs: int = 6,
+def fit(docs: DataFrame, labels: DataFrame, shape: Shape = Shape(), per_class: int = 2500, most_bytes: int = 32 << 20, epochs: int = 6,
         rate: float = 0.01, seed: int = 7) -> Network:
     """Learn from the labelled rows outside the held-out fold."""
-    rows, counts = training_rows(docs, labels, shape, per_class, train_chunks)
+    rows, counts = training_rows(docs, labels, shape, per_class, most_bytes)
     good, bad = counts.get(1, 0), counts.get(0, 0)
     net = Network(shape, seed, float(np.log((good + 1) / (bad + 1))))
     if not good or not bad or len({r[1] for r in rows}) < 2:
