@@ -155,7 +155,7 @@ cte("root_entries", f"""SELECT doc_id AS line_no, doc_id, source || '.pdf:r' ||
   CAST(floor(n_chars / 100) AS BIGINT) AS pdf_page, regexp_extract(text, '^[^.\\n]*') AS heading,
   CASE WHEN n_chars % 97 = 0 THEN '' ELSE letters END AS root_letters,
   CASE WHEN quality = 0 THEN '' WHEN toxic = 1 THEN 'letter x' ELSE 'letter ' || substr(letters, 1, 1) END AS bab_letter,
-  olabel AS semantic_origin_type, nullif({grab('text', '[.]\\s+([^.\\n]{3,200})')}, '') AS semantic_origin_text,
+  olabel AS semantic_origin_type, nullif({grab('text', '[.]\\s+([^.\\n]{3,})')}, '') AS semantic_origin_text,
   CAST(CASE olabel WHEN 'SINGULAR' THEN 1 WHEN 'DUAL' THEN 2 WHEN 'TRIPLE' THEN 3 END AS BIGINT) AS origin_count,
   CASE WHEN quality = 1 THEN 'AUTO_AGREED' WHEN quality = 0 THEN 'REVIEW_REQUIRED' ELSE '' END AS review_status,
   text FROM labelled""")
