@@ -88,3 +88,27 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     now = int(spark.conf.get(name, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(name, str(rows))
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the files of a table that `stored` wrote and nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def numbered(df: DataFrame, order: list[str], column: str, name: str) -> DataFrame:
+    """df, stored, with its rows' places (from 0) in the order of the columns; equal rows in any order.
+
+    Rows are dealt to ranges and sorted there; what the driver sees is one count per range. df runs twice, so it should be cheap.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    rows = stored(rows.withColumn("_range", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(2 ** 33 - 1)), name)
+    begin, begins = 0, []
+    for r in rows.groupBy("_range").count().orderBy("_range").collect():
+        begins.append((r["_range"], begin))
+        begin += r["count"]
+    begins = F.broadcast(spark.createDataFrame(begins, "_range long, _begin long"))  # a row per range
+    return rows.join(begins, "_range").withColumn(column, F.col("_begin") + F.col("_at")).drop("_range", "_at", "_begin")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rootloom.llm import ann, decontam, linededup, mixing, neardup, quality, substring, tokencount, urlfilter, warc
+from rootloom.llm import ann, decontam, linededup, merkle, mixing, neardup, quality, substring, tokencount, urlfilter, warc
 from rootloom.llm.common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,51 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_nearest_neighbours")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return ann.neighbours(table(spark, folder, "embeddings")).select("query_id", "rank", "vec_id", "score")
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text of ASCII characters, bit by bit."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)), "
+            "lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+
+
+def merkle_sql(levels: int = 6, above: int = 4) -> str:
+    """Trees of up to 16^levels leaves and 16^above sources, level by level."""
+    def field(column: str) -> str:
+        return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column} END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""l AS (SELECT doc_id, source, {leaf('text')} AS leaf,
+      CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 5 = 0 THEN {leaf(lower)} END AS altered FROM documents)""",
+             """a0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, leaf AS d,
+      count(*) OVER (PARTITION BY source) AS n, coalesce(altered, leaf) AS f, '' AS proof FROM l)"""]
+
+    def climbed(before: str, after: str, keys: str, carried: str) -> list[str]:
+        """One level: siblings to the left and right by place, the run's digest, folding and proof."""
+        run = f"PARTITION BY {keys}p // 16"
+        return [f"""{after}n AS (SELECT {keys}p, any_value(d) AS d, any_value(n) AS n FROM {before} GROUP BY {keys}p)""",
+                f"""{after}s AS (SELECT *, CASE WHEN n = 1 THEN d ELSE sha256(string_agg(d, '') OVER ({run} ORDER BY p
+      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) END AS up,
+      coalesce(string_agg(d, '') OVER ({run} ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lt,
+      coalesce(string_agg(d, '') OVER ({run} ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rt FROM {after}n)""",
+                f"""{after} AS (SELECT {carried}b.p // 16 AS p, s.up AS d, (b.n + 15) // 16 AS n,
+      CASE WHEN b.n = 1 THEN f ELSE sha256(lt || f || rt) END AS f, proof || CASE WHEN b.n = 1 THEN '' ELSE lt || rt END AS proof
+      FROM {before} b JOIN {after}s s ON {'b.source IS NOT DISTINCT FROM s.source AND ' if keys else ''}b.p = s.p)"""]
+    for k in range(levels):
+        parts += climbed(f"a{k}", f"a{k + 1}", "source, ", "doc_id, b.source, leaf, ")
+    parts.append(f"""t AS (SELECT source, any_value(d) AS d FROM a{levels} GROUP BY source)""")
+    parts.append("o AS (SELECT source, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS p, count(*) OVER () AS n FROM t)")
+    parts.append(f"""b0 AS (SELECT doc_id, a.source, leaf, d AS subroot, o.p, o.n, d, f, proof
+      FROM a{levels} a JOIN o ON a.source IS NOT DISTINCT FROM o.source)""")
+    for k in range(above):
+        parts += climbed(f"b{k}", f"b{k + 1}", "", "doc_id, b.source, leaf, subroot, ")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, source, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = d AS verified FROM b{above}"""
+
+
+@query("op11_merkle_manifest", merkle_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether its possibly altered text still proves."""
+    return merkle.manifest(table(spark, folder, "documents"))
