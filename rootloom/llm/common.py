@@ -27,10 +27,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, and lost executors cost nothing."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

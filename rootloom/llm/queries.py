@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rootloom.llm import ann, decontam, linededup, merkle, mixing, neardup, quality, substring, tokencount, urlfilter, warc
+from rootloom.llm import (ann, decontam, katz, linededup, merkle, mixing, neardup, quality, substring, tokencount, urlfilter, vectorcodes,
+                          warc)
 from rootloom.llm.common import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +187,39 @@ SELECT doc_id, source, leaf, subroot, d AS root, sha256(proof) AS proof_sha256,
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and whether its possibly altered text still proves."""
     return merkle.manifest(table(spark, folder, "documents"))
+
+
+@query("op12_katz_scores")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.scores(katz.train(table(spark, folder, "documents")))
+
+
+def codes_sql(rounds: int = 4) -> str:
+    """Every part against every entry, as whole numbers in doubles (exact below 2^53)."""
+    parts = ["""e AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS c
+      FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             """x AS MATERIALIZED (SELECT rid, vec_id, label, p, v, list_inner_product(v, v) AS vv FROM (SELECT rid, vec_id, label, p,
+      c[p * len(c) // 4 + 1 : (p + 1) * len(c) // 4] AS v FROM e, unnest(range(4)) t(p)))""",
+             """k0 AS MATERIALIZED (SELECT p, k, v, list_inner_product(v, v) AS vv FROM (SELECT p, v, row_number() OVER (PARTITION BY p
+      ORDER BY vec_id) - 1 AS k FROM x) WHERE k < 256)"""]
+
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (SELECT rid, p, min((x.vv + k.vv - 2 * list_inner_product(x.v, k.v))::BIGINT * 256 + k) AS best
+      FROM x JOIN k{i} k USING (p) GROUP BY rid, p)"""
+    for i in range(rounds):
+        parts.append(assigned(i))
+        parts.append(f"""s{i} AS (SELECT p, best % 256 AS k, w, sum(v[w])::BIGINT AS s, count(*) AS n
+      FROM a{i} JOIN x USING (rid, p), unnest(range(1, len(v) + 1)) t(w) GROUP BY ALL)""")
+        parts.append(f"""m{i} AS (SELECT p, k, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY w) AS v FROM s{i} GROUP BY p, k)""")
+        parts.append(f"""k{i + 1} AS MATERIALIZED (SELECT p, k, v, list_inner_product(v, v) AS vv FROM (SELECT p, k, coalesce(m.v, b.v) AS v
+      FROM k{i} b LEFT JOIN m{i} m USING (p, k)))""")
+    parts.append(assigned(rounds))
+    parts.append(f"""r AS (SELECT rid, string_agg(printf('%02x', best % 256), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error FROM a{rounds} GROUP BY rid)""")
+    parts.append(f"""d AS (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda y: y::BIGINT::VARCHAR), ','), ',' ORDER BY p, k)) AS digest FROM k{rounds})""")
+    return "WITH " + ",\n".join(parts) + """
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, digest AS codebooks_sha256 FROM e JOIN r USING (rid), d"""
+
+
+@query("op13_vector_codes", codes_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return vectorcodes.vector_codes(table(spark, folder, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
