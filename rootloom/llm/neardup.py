@@ -9,11 +9,12 @@ its weights and looks only at ranks below t / total weight, which holds about t
 belongs to a hashed coordinate; the earliest dart of each coordinate is the signature. Where a coordinate stays empty
 the rank limit doubles.
 
-Documents with the same words are one node. Nodes that agree in a whole band meet in a bucket. Within a bucket
-candidates are formed in rounds, never as all pairs: first everybody with the hub it shares most bands with; then buckets whose members are still in
-different components take a few further hubs a round, until each bucket is one component or every member has been a hub.
-A pair left out was already connected, so no link between components is lost. Each candidate is verified on
-the whole texts; from the second round on inside the tasks, where members stream past the hubs. Links are contracted to components in Spark.
+Documents with the same words are one node. Nodes that agree in a whole band meet in a bucket. Candidates are formed in two steps, never
+as all pairs. First everybody is verified against one hub: of the most central members of its buckets (those that meet most others) the one it shares most
+bands with. Then, in buckets whose members are still in different components, those outside the bucket's largest component are
+hubs and all members stream past them; a task holds hubs up to a number of words, so most buckets are one task's. A pair left out was
+already connected, so no link between components is lost. Every candidate is verified on the whole texts, in the second step inside the
+tasks, by counting common shingles of many pairs at once. Links are contracted to components in Spark.
 
 Defined cases: documents without words are copies of each other; rows of one id with different texts are different
 documents; a null id counts as the smallest and is the class id null; repeated rows are copies; an empty table stays
@@ -34,6 +35,8 @@ from rootloom.llm.linededup import mix
 SHINGLE, BANDS, ROWS = 5, 30, 5
 SLOTS = 2 ** 20
 BASE = 0xD6E8FEB86659FD93
+#: Cells of a matrix that a task holds.
+CELLS = 2 ** 23
 
 
 # ----------------------------------------------------------------- signatures
@@ -162,84 +165,156 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return labels
 
 
-def near_classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, hubs: int = 64) -> DataFrame:
+def near_classes(docs: DataFrame, least: float = 0.8, bands: int = BANDS, rows: int = ROWS, hub_words: int = 2 ** 20) -> DataFrame:
     """(node, comp) of the nodes that are linked with another one."""
     small_batches(docs.sparkSession)
     keys = band_rows(docs, bands, rows).distinct()
     keys = stored(keys, "bands")
     # buckets with the same members say the same: one of them is kept
     one, two = F.bit_xor(F.xxhash64("node")).alias("m1"), F.bit_xor(F.xxhash64(F.lit("second"), "node")).alias("m2")
-    shared = keys.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("n"), one, two).where("hub < last")
-    shared = shared.groupBy("m1", "m2", "n", "hub").agg(F.min("bucket").alias("bucket"), F.count("*").alias("same"))
-    members = stored(keys.join(shared.select("bucket", "hub", "n", "same"), "bucket"), "members")
-    nodes = members.select("node").distinct()
+    shared = keys.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"), one, two).where("lo < hi")
+    shared = shared.groupBy("m1", "m2", "n", "lo").agg(F.min("bucket").alias("bucket"), F.count("*").alias("same"))
+    members = stored(keys.join(shared.select("bucket", "n", "same"), "bucket"), "members")
+    nodes = members.groupBy("node").agg(F.sum(F.col("n") * F.col("same")).alias("meets"))
     slot = F.pmod(F.xxhash64("node"), F.lit(SLOTS)).cast("int").alias("slot")
     near = docs.select(node().alias("node"), text_of().alias("text")).withColumn("slot", slot)
     near = near.join(F.broadcast(nodes.select(slot).distinct()), "slot", "left_semi")  # at most SLOTS numbers
-    texts = stored(near.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi"), "texts")
-    shares = members.where("node != hub").groupBy("node", "hub").agg(F.sum("same").alias("n"))
+    texts = near.groupBy("node").agg(F.first("text").alias("text")).join(nodes, "node", "left_semi")
+    texts = stored(texts.withColumn("words", F.size(word_hashes()) + 16), "texts")
+    central = members.select("bucket", "node", "same").join(nodes, "node").groupBy("bucket").agg(
+        F.max(F.struct("meets", "node"))["node"].alias("hub"))
+    shares = members.select("bucket", "node", "same").join(central, "bucket").where("node != hub").groupBy("node", "hub").agg(F.sum("same").alias("n"))
     nearest = shares.groupBy("node").agg(F.min(F.struct(-F.col("n"), "hub")).alias("best"))  # the hub of most bands
     pairs = stored(nearest.select(F.col("best.hub").alias("x"), F.col("node").alias("y")), "pairs")
-    links, turn = stored(verified(pairs, texts, least), "links"), 1
+    links = stored(verified(pairs, texts, least), "links")
     labels = components(nodes, links)
-    open_ = members.select("bucket", "node", F.ceil(F.col("n") / hubs).alias("turns"))
-    while True:
-        rows_ = open_.join(labels, "node").select("bucket", "node", "turns", "comp")
-        split = rows_.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.first("turns").alias("t"))
-        open_rows = stored(rows_.join(split.where((F.col("lo") < F.col("hi")) & (F.col("t") >= turn)).select("bucket"), "bucket"), "open")
-        if open_rows.isEmpty():
-            return labels.where("node != comp").union(labels.where("node != comp").select("comp", "comp").distinct())
-        ends = stored(links_in_buckets(open_rows, texts, turn, least), "links")
-        if not ends.isEmpty():
-            merged = components(ends.select(F.col("x").alias("node")).union(ends.select("y")).distinct(), ends)
-            to = merged.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-            labels = stored(labels.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "labels")
-        open_, turn = open_rows.select("bucket", "node", "turns"), turn + 1
-
-
-def links_in_buckets(open_rows: DataFrame, texts: DataFrame, turn: int, least: float, salts: int = 8) -> DataFrame:
-    """(x, y): components that a hub of this turn connects with another member of its bucket.
-
-    The members of a bucket are dealt out over its number of turns, at most `salts` tasks; each reads the hubs first,
-    compares them with each other, and streams the other members past them, verifying on the whole texts. No pair is a
-    row: only links between different components leave a task.
+    ends = stored(links_in_buckets(members.select("bucket", "node").join(labels, "node"), texts, least, hub_words), "links")
+    if not ends.isEmpty():
+        merged = components(ends.select(F.col("x").alias("node")).union(ends.select("y")).distinct(), ends)
+        to = merged.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+        labels = stored(labels.join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "labels")
+    return labels.where("node != comp").union(labels.where("node != comp").select("comp", "comp").distinct())
+
+
+class Hubs:
+    """The hubs of a bucket in a task: finds those that are similar enough to members, many pairs at once.
+
+    A multiset of shingles is the set of its (shingle, occurrence) elements. Elements that many hubs have are
+    columns of a matrix whose product with the members counts common ones; the others are looked up in postings.
+    """
+
+    def __init__(self, words, sizes, comps, columns: int = 1024):
+        elements, owner = occurrences(words, sizes)
+        self.comps, self.totals = comps, np.bincount(owner, minlength=len(sizes))
+        self.known, at, n = np.unique(elements, return_inverse=True, return_counts=True)
+        at = at.reshape(-1)
+        often = np.flatnonzero(n > max(4, len(sizes) // 16))
+        often = often[np.argsort(-n[often], kind="stable")[:min(columns, CELLS // len(sizes))]]
+        self.column = np.full(len(self.known), -1)
+        self.column[often] = np.arange(len(often))
+        dense = self.column[at] >= 0
+        self.matrix = np.zeros((len(often), len(sizes)), np.float32)
+        self.matrix[self.column[at[dense]], owner[dense]] = 1
+        rare = np.flatnonzero(~dense)
+        rare = rare[np.argsort(at[rare], kind="stable")]
+        self.postings = owner[rare]
+        self.first = np.searchsorted(at[rare], np.arange(len(self.known) + 1))
+
+    def similar(self, words, sizes, least: float):
+        """(member, hub) of the pairs whose weighted Jaccard index is at least that."""
+        elements, owner = occurrences(words, sizes)
+        totals = np.bincount(owner, minlength=len(sizes))
+        place = np.minimum(np.searchsorted(self.known, elements), len(self.known) - 1)
+        found = self.known[place] == elements
+        place, owner = place[found], owner[found]
+        dense = self.column[place] >= 0
+        rows = np.zeros((len(sizes), len(self.matrix)), np.float32)
+        rows[owner[dense], self.column[place[dense]]] = 1
+        both = rows @ self.matrix
+        counts = self.first[place + 1] - self.first[place]
+        begins = np.repeat(self.first[place] - (np.cumsum(counts) - counts), counts)
+        hub = self.postings[begins + np.arange(counts.sum())]
+        np.add.at(both, (np.repeat(owner, counts), hub), 1)
+        return np.nonzero(both >= least * (totals[:, None] + self.totals[None, :] - both))
+
+
+def occurrences(words, sizes):
+    """(element, document): each occurrence of a shingle in a document is an element of its own."""
+    h, doc = shingles(words, sizes)
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    begins = np.flatnonzero(new)
+    nth = np.arange(len(h)) - np.repeat(begins, np.diff(np.append(begins, len(h))))
+    return np.where(nth > 0, mix(h ^ mix(nth.astype(np.uint64), 31), 31), h), doc
+
+
+def links_in_buckets(members: DataFrame, texts: DataFrame, least: float, hub_words: int) -> DataFrame:
+    """(x, y): components that members of one bucket connect; members: (bucket, node, comp).
+
+    Hubs are the members outside the largest component of their bucket. They are dealt out over tasks of about so many
+    words, each of which all members stream past. No pair is a row: only links between different components leave a task.
     """
-    hub = F.pmod(F.xxhash64("node", "bucket"), F.col("turns")) + 1 == turn
-    tasks = F.least("turns", F.lit(salts)).cast("int")
-    rows = open_rows.select("bucket", "comp", "node", hub.alias("hub"), tasks.alias("tasks")).join(texts, "node")
-    everywhere, own = F.sequence(F.lit(0), F.col("tasks") - 1), F.array(F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int"))
-    both = rows.withColumn("salt", F.explode(F.when(F.col("hub"), everywhere).otherwise(own)))
-    both = both.repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", F.col("hub").desc())
+    sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp"))["comp"].alias("top"), F.count("*").alias("comps")).where("comps > 1")
+    rows = stored(members.join(top.select("bucket", "top"), "bucket").select("bucket", "node", "comp", (F.col("comp") != F.col("top")).alias("hub")), "open")
+    held = rows.where("hub").join(texts.select("node", "words"), "node").groupBy("bucket").agg(F.ceil(F.sum("words") / hub_words).cast("int").alias("tasks"))
+    split = held.where("tasks > 1")  # the few buckets whose hubs take several tasks
+    rows = rows.join(split, "bucket", "left").withColumn("tasks", F.coalesce("tasks", F.lit(1)))
+    many = rows.where("tasks > 1").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+    many = many.withColumn("hub", F.col("hub") & (F.pmod(F.xxhash64("node"), F.col("tasks")) == F.col("task")))
+    rows = rows.where("tasks = 1").withColumn("task", F.lit(0)).unionByName(many).drop("tasks").join(texts.drop("words"), "node")
+    rows = rows.select("bucket", "task", "hub", "comp", "text").repartition("bucket", "task").sortWithinPartitions("bucket", "task", F.col("hub").desc())
 
     def stream(batches: Iterator) -> Iterator:
-        here, known, root = None, [], {}
+        here, hubs, waiting, root = None, None, [], {}
 
         def find(c):
             while root.get(c, c) != c:
                 c = root[c]
             return c
+
+        def met(words, sizes, comps):
+            out = []
+            step = max(1, min(256, CELLS // len(hubs.comps)))
+            for a in range(0, len(sizes), step):
+                part = slice(a, a + step)
+                begin, end = sizes[:a].sum(), sizes[:a + step].sum()
+                member, hub = hubs.similar(words[begin:end], sizes[part], least)
+                for x, y in {(comps[a + m], hubs.comps[h]) for m, h in zip(member.tolist(), hub.tolist())}:
+                    if find(x) != find(y):
+                        root[find(x)] = find(y)
+                        out.append((min(x, y), max(x, y)))
+            return out
         for whole in batches:
             for batch in slices(whole, 4, 1 << 17):
                 out = []
-                for bucket, is_hub, comp, salt, w in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4)):
-                    if (bucket, salt) != here:
-                        here, known, root = (bucket, salt), [], {}
-                    h, _ = shingles(np.asarray(w.values).view(np.uint64), np.array([len(w)]))
-                    x, n = np.unique(h, return_counts=True)
-                    total = int(n.sum())
-                    for other, y, m, size in known:
-                        if min(total, size) < least * max(total, size) or find(comp) == find(other):
-                            continue
-                        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                        both_ = int(np.minimum(n, m[at])[y[at] == x].sum())
-                        if both_ >= least * (total + size - both_):
-                            root[find(comp)] = find(other)
-                            out.append((min(comp, other), max(comp, other)))
-                    if is_hub:
-                        known.append((comp, x, n, total))
+                keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+                comps, lists = batch.column(3).to_pylist(), batch.column(4)
+                cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+                for a, b in zip(cuts, cuts[1:]):
+                    if keys[a][:2] != here:
+                        here, hubs, waiting, root = keys[a][:2], None, [], {}
+                    part = lists.slice(a, b - a)
+                    words = part.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                    rows_ = (words, part.value_lengths().to_numpy(zero_copy_only=False), comps[a:b])
+                    if keys[a][2]:
+                        waiting.append(rows_)
+                        continue
+                    if hubs is None and waiting:
+                        hubs = gathered(waiting)
+                        for w in waiting:
+                            out += met(*w)
+                        waiting = []
+                    if hubs is not None:
+                        out += met(*rows_)
                 yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.binary()) for i in (0, 1)], ["x", "y"])
 
-    return both.select("bucket", "hub", "comp", "salt", word_hashes().alias("w")).mapInArrow(stream, "x binary, y binary").distinct()
+    def gathered(parts):
+        return Hubs(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), [c for p in parts for c in p[2]])
+
+    return rows.select("bucket", "task", "hub", "comp", word_hashes().alias("w")).mapInArrow(stream, "x binary, y binary").distinct()
 
 
 def ids() -> Column:

@@ -60,8 +60,8 @@ def test_classes_against_brute_force(spark):
     docs = corpus()
     frame = spark.createDataFrame([(i, t, "n") for i, t in docs], "doc_id long, text string, node string").repartition(4)
     groups, of = brute(docs)
-    for hubs in (16, 2):
-        got = neardup.classes(frame, hubs=hubs).collect()
+    for hub_words in (2 ** 20, 200):
+        got = neardup.classes(frame, hub_words=hub_words).collect()
         assert len(got) == len(docs)
         found = defaultdict(list)
         for r in got:
@@ -74,6 +74,32 @@ def test_classes_against_brute_force(spark):
     assert sorted(str(-2 ** 63 if r.doc_id is None else r.doc_id) for r in kept.collect()) == want
 
 
+def test_hubs_find_similar_members():
+    """Pairs counted in a matrix and in postings, against sets of one pair each."""
+    r = random.Random(8)
+    base = [f"w{r.randrange(90)}" for _ in range(120)]
+    texts = []
+    for _ in range(160):
+        w = base[:r.choice([40, 120])]
+        for _ in range(r.choice([0, 1, 3, 9])):
+            w[r.randrange(len(w))] = f"x{r.randrange(9)}"
+        texts.append(w)
+    texts += [["a"], ["a", "b"], ["a"] * 50, ["a"] * 60]
+    code = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}))}
+    words = np.array([hash(("v", code[w])) & (2 ** 63 - 1) for t in texts for w in t], np.uint64)
+    sizes = np.array([len(t) for t in texts])
+    for columns in (1024, 5, 0):
+        hubs = neardup.Hubs(words, sizes, list(range(len(texts))), columns)
+        got = set(zip(*(x.tolist() for x in hubs.similar(words, sizes, 0.8))))
+        want = set()
+        for i, a in enumerate(texts):
+            for j, b in enumerate(texts):
+                x, y = grams(" ".join(a))[1], grams(" ".join(b))[1]
+                if sum((x & y).values()) >= 0.8 * sum((x | y).values()):
+                    want.add((i, j))
+        assert got == want
+
+
 def test_signatures_estimate_the_weighted_index():
     rng = np.random.default_rng(2)
     names = rng.integers(0, 2 ** 63, 300).astype(np.uint64)
