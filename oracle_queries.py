@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from rootloom.operators.governed import MACHINE_ONLY, REVIEWED
 from rootloom.operators.claimgraph import CLAIM_TYPES, DEFAULT_CLAIM, ETYMOLOGY, USAGE
 from rootloom.plans.bindings import FOOTNOTE, ORIGIN_LABELS, POETRY
 from rootloom.plans.requests import ALIASES, HANDLERS
@@ -17,6 +18,7 @@ CTES: dict[str, str] = {}
 SQL: dict[str, str] = {}
 WS = "(' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11))"
 D, O = P.DISCOURSE, P.ORIGINS
+CHAINED = (MACHINE_ONLY, *dict.fromkeys(REVIEWED.values()))
 
 
 def s(text) -> str:
@@ -67,14 +69,14 @@ def root_norm(x: str, p=P.PROFILES["lookup"]) -> str:
 def with_ctes(final: str) -> str:
     order: list[str] = []
 
-    def visit(text: str) -> None:
+    def visit(text: str, inside: tuple[str, ...] = ()) -> None:
         for name in CTES:
-            if name not in order and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
-                visit(CTES[name])
+            if name not in order and name not in inside and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text):
+                visit(CTES[name], (*inside, name))
                 if name not in order:
                     order.append(name)
     visit(final)
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + final if order else final
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + final if order else final
 
 
 def cte(name: str, text: str) -> None:
@@ -82,7 +84,7 @@ def cte(name: str, text: str) -> None:
 
 
 def sql(name: str, text: str) -> None:
-    SQL[name] = with_ctes(text)
+    SQL[name] = text  # completed at the end, when all common tables are named
 
 
 def cols(x: str) -> str:
@@ -99,39 +101,44 @@ cte("parsed", f"""SELECT doc_id AS entry_num, source, lower(regexp_extract(text,
   list_filter(string_split(text, chr(10)), lambda x: x <> '' AND {has('x', FOOTNOTE)}) AS footnote_lines,
   regexp_extract_all(text, ' from (\\p{{L}}+)', 1) AS page_refs FROM documents""")
 
-_clean = strip(f"regexp_replace(regexp_replace(body_text, {s(O.noise)}, ' ', 'g'), '\\s+', ' ', 'g')")
-_tails = ", ".join(f"nullif({grab('t', c)}, '')" for c in O.chains)
-_after = norm(strip(f"coalesce({_tails}, t)"), O.profile)
-for _p in O.context_prefixes:
-    _after = strip(f"regexp_replace({_after}, {s(_p)}, '')")
-cte("after_chain", f"SELECT *, {_after} AS after_text FROM (SELECT *, {_clean} AS t FROM parsed)")
-
-
-def _seen(window):
-    return f"substr(after_text, 1, {window})" if window else "after_text"
-
-
-_rule = "CASE " + " ".join(f"WHEN {has(_seen(r.window), r.pattern)} THEN {s(r.name)}" for r in O.rules) + " END"
-cte("ruled", f"SELECT *, {_rule} AS origin_rule FROM after_chain")
+_bad = f"(length(body_text) - length(regexp_replace(body_text, {s(O.ocr_suspect)}, '', 'g')))"
 
 
-def _axis_list(r) -> str:
-    src = _seen(r.extract_window if r.extract else r.window)
-    items = ", ".join(strip(f"regexp_replace({grab(src, r.extract or r.pattern, g)}, '\\s+', ' ', 'g')") for g in r.groups)
-    out = f"list_filter([{items}], lambda v: v <> '')"
-    return f"list_slice({out}, 1, 1)" if r.first_only else out
+def enrichment(pack, prefix: str = "") -> None:
+    """Entries after their letter chain, the rule that holds, and what it says."""
+    text = strip(f"regexp_replace(regexp_replace(body_text, {s(pack.noise)}, ' ', 'g'), '\\s+', ' ', 'g')") if pack.noise else "body_text"
+    tails = ", ".join(f"nullif({grab('t', c)}, '')" for c in pack.chains)
+    after = strip(f"coalesce({tails}, t)")
+    if pack.raw_prefix:
+        after = f"regexp_replace({after}, {s(pack.raw_prefix)}, '')"
+    after = norm(after, pack.profile)
+    for p in pack.context_prefixes:
+        after = strip(f"regexp_replace({after}, {s(p)}, '')")
+    cte(prefix + "after_chain", f"SELECT *, {after} AS after_text FROM (SELECT *, {text} AS t FROM parsed)")
+
+    def seen(window):
+        return f"substr(after_text, 1, {window})" if window else "after_text"
+
+    def axis_list(r) -> str:
+        src = seen(r.extract_window if r.extract else r.window)
+        items = ", ".join(strip(f"regexp_replace({grab(src, r.extract or r.pattern, g)}, '\\s+', ' ', 'g')") for g in r.groups)
+        out = f"list_filter([{items}], lambda v: v <> '')"
+        return f"list_slice({out}, 1, 1)" if r.first_only else out
+    rule = "CASE " + " ".join(f"WHEN {has(seen(r.window), r.pattern)} THEN {s(r.name)}" for r in pack.rules) + " END"
+    cte(prefix + "ruled", f"SELECT *, {rule} AS origin_rule FROM {prefix}after_chain")
+    axes = "CASE origin_rule " + " ".join(f"WHEN {s(r.name)} THEN {axis_list(r)}" for r in pack.rules if r.groups) \
+        + " ELSE CAST([] AS VARCHAR[]) END"
+    kind = "CASE origin_rule " + " ".join(f"WHEN {s(r.name)} THEN {s(r.entry_type)}" for r in pack.rules) + " ELSE 'UNKNOWN' END"
+    count = "CASE origin_rule " + " ".join(
+        f"WHEN {s(r.name)} THEN {r.axes_count if r.axes_count is not None else 'NULL'}" for r in pack.rules) + " END"
+    cte(prefix + "enriched", f"""SELECT *, entry_num AS entry_id, {kind} AS entry_type, CAST({count} AS BIGINT) AS axes_count,
+  {axes} AS axes, list_sort(list_distinct(regexp_extract_all(body_text, {s('(' + pack.authorities + ')')}, 1))) AS authorities,
+  greatest(0.0, round(1.0 - {_bad} / greatest(length(body_text), 1) * 10, 2)) AS ocr_confidence,
+  'PENDING' AS review_state, 'UNVERIFIED' AS claim_status FROM {prefix}ruled""")
 
 
-_axes = "CASE origin_rule " + " ".join(f"WHEN {s(r.name)} THEN {_axis_list(r)}" for r in O.rules if r.groups) \
-    + " ELSE CAST([] AS VARCHAR[]) END"
-_type = "CASE origin_rule " + " ".join(f"WHEN {s(r.name)} THEN {s(r.entry_type)}" for r in O.rules) + " ELSE 'UNKNOWN' END"
-_count = "CASE origin_rule " + " ".join(
-    f"WHEN {s(r.name)} THEN {r.axes_count if r.axes_count is not None else 'NULL'}" for r in O.rules) + " END"
-_bad = f"(length(body_text) - length(regexp_replace(body_text, {s(O.ocr_suspect)}, '', 'g')))"
-cte("enriched", f"""SELECT *, entry_num AS entry_id, {_type} AS entry_type, CAST({_count} AS BIGINT) AS axes_count,
-  {_axes} AS axes, list_sort(list_distinct(regexp_extract_all(body_text, {s('(' + O.authorities + ')')}, 1))) AS authorities,
-  greatest(0.0, round(1.0 - {_bad} / greatest(length(body_text), 1) * 10, 2)) AS ocr_confidence,
-  'PENDING' AS review_state, 'UNVERIFIED' AS claim_status FROM ruled""")
+enrichment(O)
+enrichment(P.ORIGINS_V1, "v1_")
 cte("axis_rows", """SELECT entry_id, unnest(axes) AS axis_text, CAST(generate_subscripts(axes, 1) AS BIGINT) AS axis_num,
   'IBN_FARIS_DIRECT' AS attribution, root_letters, root_display FROM enriched""")
 cte("asks", """SELECT item_id AS request_id, lower(w[1]) AS root, lower(w[2]) AS concept, lower(w[3]) AS concept_id,
@@ -174,6 +181,12 @@ cte("certs", """SELECT doc_id AS line_no, 'cert:' || doc_id AS certificate_id, d
 # ------------------------------------------------------------------------- A
 sql("A1_parse_json_lines", """SELECT event_id AS line_no, CAST(json_extract(props, '$.k') AS BIGINT) AS k, false AS is_malformed
   FROM events WHERE trim(props) <> ''""")
+_lines = "len(string_split(text, chr(10)))"
+sql("A2_resolve_corpus", f"""SELECT CASE WHEN ok THEN entry_id END AS entry_id, CASE WHEN ok THEN source_pdf END AS source_pdf, CASE WHEN ok THEN root_letters END AS root_letters,
+  CASE WHEN ok THEN semantic_origin_text END AS semantic_origin_text, CASE WHEN ok THEN {_lines} END AS lines, NOT ok AS is_malformed, 'ORIGINAL' AS load_status
+  FROM (SELECT *, line_no % 7 <> 0 AS ok FROM root_entries)""")
+sql("A2_load_health", "SELECT count_if(line_no % 7 = 0) AS malformed_line_count, count_if(line_no % 7 = 0) > 0 AS partial_load FROM root_entries")
+sql("A4_write_jsonl", f"SELECT entry_num, entry_type, root_letters, {cols('axes')} AS axes, {cols('authorities')} AS authorities FROM enriched")
 sql("A3_star_entries", f"""SELECT entry_id, source, root_letters, root_display, chapter_header, is_lexical_entry,
   CAST(length(body_text) AS BIGINT) AS body_length, CAST(len(page_refs) AS BIGINT) AS page_ref_count, entry_type, axes_count,
   {cols('authorities')} AS authorities, ocr_confidence, review_state, claim_status FROM enriched""")
@@ -184,6 +197,15 @@ sql("A3c_source_passages", """SELECT entry_num AS entry_id, CAST(generate_subscr
   unnest(footnote_lines) AS content, 'FOOTNOTE' AS passage_type FROM parsed""")
 sql("A3d_trace_events", """SELECT entry_id, CASE WHEN entry_type = 'UNKNOWN' THEN 'FLAGGED' ELSE 'ENRICHED' END AS event_type,
   'entry_type=' || entry_type || ' axes=' || coalesce(CAST(axes_count AS VARCHAR), 'None') AS detail FROM enriched""")
+_article = "regexp_extract(html, '<article[^>]*>([\\s\\S]*?)</article>', 1)"
+_plain = f"regexp_replace({_article}, '<[^>]*>', chr(10), 'g')"
+for _entity, _char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    _plain = f"replace({_plain}, '&{_entity};', '{_char}')"
+_tagless = f"string_split({_plain}, chr(10))"
+_clean_lines = f"list_filter(list_transform({_tagless}, lambda x: {strip('x')}), lambda x: x <> '')"
+_squeezed = f"array_to_string(list_transform({_clean_lines}, lambda x: regexp_replace(x, '[ \\t\\r\\f\\v]{{2,}}', ' ', 'g')), chr(10))"
+sql("A5_extract_pages", f"""SELECT page_id, CAST(length(t) AS BIGINT) AS text_length, md5(t) AS text_md5, CAST(0 AS BIGINT) AS footnotes
+  FROM (SELECT page_id, {_squeezed} AS t FROM pages)""")
 sql("A6_volume_page", """SELECT conv_id, turn, 'ج' || conv_id AS vol, 'ص' || turn AS page_label FROM conversations""")
 
 L = P.LINES
@@ -207,7 +229,14 @@ cte("entry_lines", f"""SELECT * FROM (SELECT *, count(opener) OVER ({_book} ROWS
     WHEN {has('line', L.strict)} THEN 'strict' WHEN {has('line', L.geminate)} THEN 'geminate' END AS opener
     FROM state_lines WHERE NOT is_chapter AND bracket IS NULL)) WHERE entry_num > 0""")
 sql("A7_entry_lines", "SELECT book, page_num, pos, entry_num, role, opener, chapter FROM entry_lines")
-sql("A7_segment_entries", f"""SELECT book, entry_num, CAST(0 AS BIGINT) AS part,
+cte("entry_bodies", "SELECT book, entry_num, bool_or(role <> 'footnote') AS filled FROM entry_lines GROUP BY book, entry_num")
+sql("A7_entry_heads", """SELECT book, entry_num, max(CASE WHEN opener IS NOT NULL THEN coalesce(nullif(start_root, ''), pending, start_root) END) AS root_letters,
+  max(CASE WHEN opener IS NOT NULL THEN coalesce(pending, start_root) END) AS root_display, max(CASE WHEN opener IS NOT NULL THEN chapter END) AS chapter_header,
+  count_if(role = 'text') AS text_lines, count_if(role = 'poetry') AS poetry_lines, count_if(role = 'footnote') AS footnote_lines
+  FROM entry_lines GROUP BY book, entry_num HAVING bool_or(role <> 'footnote')""")
+sql("A7_numbered_lines", """SELECT book, entry_num, row_number() OVER (PARTITION BY book, entry_num ORDER BY page_num, pos) - 1 AS line_num, page_num, pos, role, filled
+  FROM entry_lines JOIN entry_bodies USING (book, entry_num)""")
+sql("A7_segment_entries", f"""SELECT book, entry_num,
   max(CASE WHEN opener IS NOT NULL THEN coalesce(nullif(start_root, ''), pending, start_root) END) AS root_letters,
   max(CASE WHEN opener IS NOT NULL THEN coalesce(pending, start_root) END) AS root_display,
   max(CASE WHEN opener IS NOT NULL THEN chapter END) AS chapter_header,
@@ -224,18 +253,22 @@ sql("A9_letter_names_to_root", f"SELECT book, page_num, pos, {_letters(grab('lin
 sql("A10_segmentation_report", """SELECT (SELECT count(*) FROM conversations) AS pages, count(opener) AS entries,
   count(opener) AS lexical_entries, CAST(0 AS BIGINT) AS other_entries FROM entry_lines""")
 sql("A11_page_counts", "SELECT source, count(*) AS page_count FROM documents GROUP BY source")
-cte("volume_hash", """SELECT source, CASE WHEN count(*) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY sup)) END AS sha256 FROM (
-  SELECT source, sup, CASE WHEN count(*) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY blk)) END AS h FROM (
-    SELECT source, doc_id // 65536 AS blk, doc_id // 65536 // 4096 AS sup, sha256(string_agg(text, '' ORDER BY doc_id)) AS h
-    FROM documents GROUP BY ALL) GROUP BY source, sup) GROUP BY source""")
-sql("A12_volume_content_hash", "SELECT * FROM volume_hash")
-sql("A13_source_records", """SELECT 'lex:source:vol' || v AS source_id, v AS volume_number, d.source || '.pdf' AS source_pdf, sha256,
-  d.n AS page_count, CAST(2 AS BIGINT) AS ocr_pass_count, false AS is_missing_volume
+sql("A12_volume_content_hash", "SELECT source, sha256(coalesce(string_agg(text, '' ORDER BY doc_id), '')) AS sha256 FROM documents GROUP BY source")
+cte("hash_0", "SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id, sha256(coalesce(text, ''))) - 1 AS p, sha256(coalesce(text, '')) AS h FROM documents")
+_up = "SELECT source, p // 1024 AS p, CASE WHEN count(*) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY p)) END AS h FROM {} GROUP BY ALL"
+cte("hash_1", _up.format("hash_0"))
+cte("hash_2", _up.format("hash_1"))
+cte("tree_hash", f"SELECT source, h AS sha256, n AS lines FROM ({_up.format('hash_2')}) JOIN (SELECT source, count(*) AS n FROM documents GROUP BY source) USING (source)")
+sql("A12_volume_tree_hash", "SELECT * FROM tree_hash")
+sql("A13_source_records", """SELECT 'lex:source:vol' || v AS source_id, v AS volume_number, d.source || '.pdf' AS source_pdf, h.sha256,
+  d.n AS page_count, CAST(2 AS BIGINT) AS ocr_pass_count, false AS is_missing_volume, coalesce(i.letters, '') AS initial_letters, '' AS pdf_sha256
   FROM (SELECT source, count(*) AS n, CAST(regexp_extract(source, '(\\d+)') AS BIGINT) AS v FROM documents GROUP BY source) d
-  JOIN volume_hash h ON d.source = h.source WHERE d.source <> 'src19'""")
+  JOIN tree_hash h ON d.source = h.source LEFT JOIN (SELECT source_pdf, string_agg(c, '' ORDER BY encode(c)) AS letters FROM (
+    SELECT DISTINCT source_pdf, substr(root_letters, 1, 1) AS c FROM root_entries WHERE root_letters <> '') GROUP BY source_pdf) i ON i.source_pdf = d.source || '.pdf'
+  WHERE d.source <> 'src19'""")
 
 # ------------------------------------------------------------------------- B
-for _n in ("lookup", "classify", "graph_origin", "entity", "initial"):
+for _n in ("lookup", "classify", "classify_v1", "graph_origin", "entity", "initial"):
     sql(f"B_normalize_{_n}", f"SELECT doc_id, md5({norm('text', P.PROFILES[_n])}) AS norm FROM documents")
 sql("B2_normalize_root", f"SELECT p_partkey, {root_norm('p_name')} AS root_norm FROM part")
 sql("B9_fix_ocr", "SELECT doc_id, md5(replace(text, ' de ', ' di ')) AS fixed FROM documents")
@@ -291,6 +324,7 @@ sql("D5_quoted_authorities", f"SELECT entry_num, {cols('authorities')} AS author
 sql("D6_ocr_confidence", "SELECT entry_num, ocr_confidence FROM enriched")
 sql("D7_enrich", f"""SELECT entry_num, root_letters, entry_type, axes_count, {cols('axes')} AS axes, {cols('authorities')} AS authorities,
   ocr_confidence, review_state, claim_status FROM enriched""")
+sql("D4_enrich_v1", f"SELECT entry_num, entry_type, axes_count, {cols('axes')} AS axes, ocr_confidence FROM v1_enriched")
 sql("D8_enrichment_report", """SELECT entry_type, count(*) AS entries, count_if(len(axes) > 0) AS with_axes,
   count_if(coalesce(axes_count, 0) >= 2) AS multi_origin, count_if(ocr_confidence < 0.8) AS low_ocr,
   count_if(entry_type = 'UNKNOWN') AS unknown, arg_min(root_display, entry_num) AS sample_root,
@@ -420,6 +454,9 @@ sql("H1_passages", "SELECT * REPLACE (CAST(ocr_confidence AS DOUBLE) AS ocr_conf
 residual("res_passage", "used", "'lex:residual:MISSING_SOURCE_PASSAGE:' || root_letters || ':' || discriminator", "passage_id",
          "SourcePassage", "'MISSING_SOURCE_PASSAGE'", "'No heading text for root ' || root_letters", "'TEXT_VERIFIED'", "heading_text = ''")
 sql("H2_missing_passage_residuals", f"SELECT {_RV} FROM res_passage")
+residual("res_blank", "used", "'lex:residual:MISSING_SOURCE_PASSAGE:' || root_letters || ':' || discriminator", "passage_id",
+         "SourcePassage", "'MISSING_SOURCE_PASSAGE'", "'No heading text for root ' || root_letters", "'TEXT_VERIFIED'", f"NOT {has('heading_text', '^[[:upper:]]')}".replace("[[:upper:]]", "\\p{Lu}"))
+sql("H2_blank_headings", f"SELECT {_RV} FROM res_blank")
 
 
 def gate(kind: str, arg: str) -> str:
@@ -534,6 +571,30 @@ cte("evidence_ids", f"""SELECT request_id, CAST(0 AS BIGINT) AS step, CAST(0 AS
 sql("J4_governed_evidence_ids", "SELECT * FROM evidence_ids")
 sql("J5_evidence_metadata", """SELECT e.request_id, e.evidence_id, g.root_letters, g.kind, 'MACHINE_SOURCE_CLAIM_CANDIDATE' AS evidence_status, g.review_state
   FROM evidence_ids e JOIN governed g USING (request_id)""")
+_step = lambda n: f"SELECT DISTINCT root_letters, step, position, evidence_id FROM {n} JOIN governed USING (request_id)"
+sql("J4_root_evidence_ids", _step("evidence_ids"))
+cte("outcomes", f"""SELECT line_no, arg_max(granted_state, (reviewed_at, certificate_id)) AS reviewed_state, arg_max(certificate_id, (reviewed_at, certificate_id)) AS certificate_id,
+  arg_max(reviewer_type, (reviewed_at, certificate_id)) <> 'MACHINE_ONLY' AS by_human FROM certs
+  WHERE NOT (reviewer_type = 'MACHINE_ONLY' AND granted_state IN {lst(V.HUMAN_STATES)}) GROUP BY line_no""")
+cte("root_reviews", """SELECT f.root_letters, o.reviewed_state, o.certificate_id FROM (SELECT root_letters, arg_min(line_no, line_no) AS line_no FROM imports WHERE NOT is_noise
+  GROUP BY root_letters) f JOIN outcomes o USING (line_no) WHERE o.by_human""")
+cte("verified", f"""SELECT g.* EXCLUDE (kind, review_state), CASE WHEN g.found AND NOT g.has_conflict AND k.new_kind IS NOT NULL THEN k.new_kind ELSE g.kind END AS kind,
+  CASE WHEN g.found AND NOT g.has_conflict AND k.new_kind IS NOT NULL THEN k.reviewed_state ELSE g.review_state END AS review_state,
+  CASE WHEN g.found AND NOT g.has_conflict AND k.new_kind IN ('FOUND_IDENTITY_VERIFIED', 'FOUND_TEXT_VERIFIED', 'FOUND_LEXICALLY_REVIEWED')
+    THEN 'lex:root-identity-carrier:' || g.root_letters || ':' || k.certificate_id END AS carrier_id
+  FROM governed g LEFT JOIN (SELECT *, {table('reviewed_state', REVIEWED, 'NULL')} AS new_kind FROM root_reviews) k USING (root_letters)""")
+sql("J2_verified_lookup", "SELECT request_id, root_letters, kind, found, review_state, carrier_id FROM verified")
+cte("verified_ids", f"""SELECT root_letters, 0 AS step, 0 AS position, 'lex:root:' || root_letters || ':bab:' || bab_letter AS evidence_id FROM verified
+    WHERE found AND coalesce(bab_letter, '') <> ''
+  UNION ALL SELECT g.root_letters, 1, 0, 'lex:root:' || g.root_letters || ':origin:' || f.t || ':count:' || f.c FROM verified g JOIN (
+    SELECT root_letters, arg_min(origin_type, line_no) AS t, arg_min(CASE WHEN {_one} THEN '1' ELSE 'none' END, line_no) AS c FROM root_claims_t
+    WHERE origin_type NOT IN {lst(V.NO_ORIGIN_TYPES)} GROUP BY root_letters) f USING (root_letters) WHERE g.kind = 'FOUND_MACHINE_CANDIDATE_ONLY'
+  UNION ALL SELECT root_letters, 2, 0, candidate_id FROM verified WHERE kind IN {lst(CHAINED)} AND candidate_id IS NOT NULL
+  UNION ALL SELECT root_letters, 2, 1, carrier_id FROM verified WHERE carrier_id IS NOT NULL
+  UNION ALL SELECT g.root_letters, 3, c.line_no, c.claim_id FROM verified g JOIN root_claims_t c USING (root_letters) WHERE g.kind IN {lst(CHAINED)}
+  UNION ALL SELECT g.root_letters, 4, o.line_no, o.origin_id FROM verified g JOIN (SELECT *, row_number() OVER (PARTITION BY root_letters ORDER BY line_no) AS rn
+    FROM origin_rows) o USING (root_letters) WHERE g.kind IN {lst(CHAINED)} AND (g.kind <> 'FOUND_MACHINE_CANDIDATE_ONLY' OR o.rn <= 3)""")
+sql("J4_verified_evidence_ids", "SELECT DISTINCT root_letters, CAST(step AS BIGINT) AS step, CAST(position AS BIGINT) AS position, evidence_id FROM verified_ids")
 cte("licensed", f"SELECT *, {_refusal.replace('root ', 'root_letters ').replace('root =', 'root_letters =')} AS refusal FROM governed")
 sql("J6_licensed_augmentation", """SELECT request_id, root_letters AS root, CASE WHEN refusal IS NULL THEN kind ELSE 'NOT_FOUND_IN_COVERED_VOLUME' END AS lookup_kind,
   'MACHINE_SOURCE_CLAIM_CANDIDATE' AS evidence_status, CASE WHEN refusal IS NULL THEN review_state ELSE 'UNREVIEWED' END AS review_state,
@@ -543,6 +604,10 @@ sql("J6_licensed_augmentation", """SELECT request_id, root_letters AS root, CASE
 sql("J6_augmentation_ids", """SELECT request_id, 'passage' AS id_kind, passage_id AS id FROM licensed l JOIN root_claims_t USING (root_letters) WHERE refusal IS NULL
   UNION ALL SELECT request_id, 'residual', residual_id FROM licensed JOIN residuals USING (root_letters) WHERE refusal IS NULL
   UNION ALL SELECT request_id, 'trace', trace_id FROM licensed JOIN traces USING (root_letters) WHERE refusal IS NULL""")
+_asked = "(SELECT DISTINCT root_letters FROM licensed WHERE refusal IS NULL)"
+sql("J6_root_augmentation_ids", f"""SELECT root_letters, 'passage' AS id_kind, passage_id AS id FROM {_asked} JOIN root_claims_t USING (root_letters)
+  UNION ALL SELECT root_letters, 'residual', residual_id FROM {_asked} JOIN residuals USING (root_letters)
+  UNION ALL SELECT root_letters, 'trace', trace_id FROM {_asked} JOIN traces USING (root_letters)""")
 _cnt = lambda t: f"(SELECT count(*) FROM {t} x WHERE x.root_letters = g.root_letters)"
 sql("J7_lookup_explain", f"""SELECT request_id, root_letters, kind, 'MACHINE_SOURCE_CLAIM_CANDIDATE' AS evidence_status, review_state, found, is_machine_only, has_conflict,
   coverage_gap, (SELECT count(*) FROM evidence_ids e WHERE e.request_id = g.request_id) AS evidence_id_count,
@@ -764,7 +829,8 @@ cte("bundles_2", f"""SELECT *, CASE heading_type WHEN 'CHAPTER_HEADER' THEN 'OCR
 _cue = f"CASE WHEN semantic_origin_text IS NULL THEN 'UNKNOWN' ELSE {label('semantic_origin_text', D.strength_cues, 'ASSERTED')} END"
 cte("bundles", f"""SELECT *, entry_kind IN ('ROOT_ENTRY', 'CROSS_REFERENCE', 'NEGATIVE_ENTRY') AS has_source_claim, list_filter([
   CASE WHEN entry_kind IN ('ROOT_ENTRY', 'NEGATIVE_ENTRY') AND {strip('body_text')} = '' THEN 'MISSING_SOURCE_PASSAGE' END,
-  CASE WHEN human_all = '' AND ocr_confidence < 0.60 THEN 'TEXT_VERIFICATION_FAILED' END], lambda x: x IS NOT NULL) AS residuals FROM bundles_2""")
+  CASE WHEN human_all = '' AND ocr_confidence < 0.60 THEN 'TEXT_VERIFICATION_FAILED' END,
+  CASE WHEN entry_id IN (SELECT entry_id FROM conflicted) THEN 'INTER_ENTRY_CONFLICT' END], lambda x: x IS NOT NULL) AS residuals FROM bundles_2""")
 sql("M8_entry_labels", f"""SELECT entry_id, heading_type, claim_kind, entry_kind, CASE WHEN has_source_claim THEN CASE WHEN olabel IN {lst(V.POSITIVE_TYPES)} THEN olabel
   WHEN olabel IN ('NONE', 'NOT_ROOT', 'CHAPTER_HEADER', 'CROSS_REFERENCE') THEN 'NOT_EXTRACTED' ELSE 'UNKNOWN' END END AS origin_type FROM bundles""")
 sql("M9_root_identity_match", """SELECT entry_id, root_identity_match, CASE root_identity_match WHEN 'EXACT' THEN CAST(1.0 AS DOUBLE) ELSE 0.9 END AS match_confidence,
@@ -803,9 +869,10 @@ _linked = "CASE WHEN last_index IS NULL THEN NULL WHEN origin_index <= last_inde
 _origin_ref = f"CASE WHEN last_index IS NOT NULL THEN {_id('ORI', 'entry_id', _linked)} END"
 cte("branch_t", f"""SELECT *, {_id('BR', 'entry_id', 'pos')} AS branch_id, CAST(row_number() OVER (PARTITION BY entry_id, origin_index ORDER BY pos) - 1 AS BIGINT) AS branch_index,
   {label('gloss', D.relations, None)} AS stated FROM (SELECT c.entry_id, c.pos, CAST(c.origin_index AS BIGINT) AS origin_index, {_origin_ref.replace('entry_id', 'c.entry_id').replace('origin_index', 'c.origin_index')} AS origin_id,
-  substr({strip("CASE WHEN coalesce(definition, '') <> '' THEN definition ELSE raw_text END")}, 1, 200) AS gloss
+  substr({strip("CASE WHEN coalesce(definition, '') <> '' THEN definition ELSE raw_text END")}, 1, 200) AS gloss, nullif({strip('term')}, '') AS form
   FROM claim_rows c LEFT JOIN last_origin l ON c.entry_id = l.entry_id WHERE claim_type = 'BRANCH_ITEM')""")
-sql("N6_branches", f"""SELECT branch_id, entry_id, origin_id, origin_index, branch_index, gloss, coalesce(stated, 'DIRECT_INSTANCE') AS relation,
+sql("N6_branches", f"""SELECT branch_id, entry_id, origin_id, origin_index, branch_index, form AS source_form,
+  nullif({norm('form', D.origin_profile)}, '') AS normalized_form, gloss, coalesce(stated, 'DIRECT_INSTANCE') AS relation,
   CASE WHEN stated IS NOT NULL THEN 'STRONGLY_IMPLIED' ELSE 'SYSTEM_INFERRED' END AS explicitness, {label('gloss', D.distances, 'NEAR')} AS distance,
   {label('gloss', D.domains, 'GENERAL_LANGUAGE')} AS domain FROM branch_t""")
 cte("exception_t", f"""SELECT {_id('EXN', 'c.entry_id', 'pos')} AS node_id, c.entry_id, pos, CAST(c.origin_index AS BIGINT) AS origin_index,
@@ -824,6 +891,14 @@ cte("resolved", f"""SELECT x.node_id, x.entry_id, x.target, coalesce(a.k, b.k) A
   coalesce(a.k, b.k) IS NOT NULL AS resolved FROM xref_t x LEFT JOIN root_hits a ON a.k = {root_norm('x.target')}
   LEFT JOIN root_hits b ON b.k = {root_norm("string_split(x.target, ' ')[1]")}""")
 sql("N9_resolved_cross_refs", "SELECT * FROM resolved")
+cte("ref_edges", f"""SELECT x.entry_id, {root_norm('e.root_letters')} AS src, x.target_root AS dst FROM resolved x JOIN root_entries e USING (entry_id)
+  WHERE x.resolved AND {root_norm('e.root_letters')} <> ''""")
+cte("ref_pairs", "SELECT DISTINCT src, dst FROM ref_edges")
+cte("ref_reach", "SELECT src, dst FROM ref_pairs UNION SELECT r.src, p.dst FROM ref_reach r JOIN ref_pairs p ON r.dst = p.src")
+cte("ref_cycles", "SELECT p.src, p.dst FROM ref_pairs p JOIN ref_reach r ON r.src = p.dst AND r.dst = p.src")
+cte("conflicted", "SELECT DISTINCT e.entry_id FROM ref_edges e JOIN ref_cycles c ON e.src = c.src AND e.dst = c.dst")
+sql("N10_cycle_check", "SELECT * FROM ref_cycles")
+sql("N10_entry_conflicts", "SELECT entry_id, 'INTER_ENTRY_CONFLICT' AS residual FROM conflicted")
 sql("N11_nucleus_residuals", """SELECT DISTINCT entry_id, 'NUCLEUS_NOT_EXTRACTABLE' AS residual FROM origin_t WHERE semantic_nucleus IS NULL""")
 
 # ------------------------------------------------------------------------- O
@@ -861,9 +936,12 @@ sql("O14_bundle_export", f"""SELECT entry_id, root_letters, CASE WHEN corrected_
 
 # ------------------------------------------------------------------------- P
 _tok = lambda x: f"list_filter(regexp_split_to_array({x}, '\\s+'), lambda z: z <> '')"
+cte("branch_words", f"""SELECT entry_id, pos, 0 AS k, form, 'source_lexical_form' AS field FROM branch_t WHERE form IS NOT NULL
+  UNION ALL SELECT entry_id, pos, 1, {norm('form', D.origin_profile)}, 'normalized_form' FROM branch_t WHERE form IS NOT NULL""")
 cte("word_seen", f"""SELECT entry_id, {norm('token', D.entity_profile)} AS word, rk, place, ix, layer, field FROM (
   SELECT entry_id, 0 AS rk, origin_index AS place, unnest({_tok('semantic_nucleus')}) AS token, generate_subscripts({_tok('semantic_nucleus')}, 1) AS ix, 'L3_nucleus' AS layer, 'semantic_nucleus' AS field
     FROM origin_t WHERE semantic_nucleus IS NOT NULL
+  UNION ALL SELECT entry_id, 1, pos * 2 + k, unnest({_tok('form')}), generate_subscripts({_tok('form')}, 1), 'L3_branch', field FROM branch_words
   UNION ALL SELECT entry_id, 2, 0, unnest({_tok('surface')}), generate_subscripts({_tok('surface')}, 1), 'L2_term', 'lexical_form' FROM term_nodes
   UNION ALL SELECT entry_id, 3, origin_index, unnest({_tok('semantic_nucleus')}), generate_subscripts({_tok('semantic_nucleus')}, 1), 'L4_genus', 'concept_ref' FROM concept_t WHERE semantic_nucleus IS NOT NULL)""")
 cte("words", """SELECT entry_id, word, arg_min(layer, (rk, place, ix)) AS source_layer, arg_min(field, (rk, place, ix)) AS source_field FROM word_seen
@@ -983,7 +1061,31 @@ sql("Q26_find_roots_by_concept_all", """SELECT request_id, entry_id, 'ROOT_EXPLI
   SELECT q.request_id, d.doc_id, 'ROOT_SEMANTICALLY_SIMILAR', NULL FROM c7_asks q JOIN documents d ON contains(d.text, q.concept)
   WHERE NOT EXISTS (SELECT 1 FROM c26_axis x WHERE x.request_id = q.request_id AND x.entry_id = d.doc_id)""")
 _kinds = [*sorted(HANDLERS), *sorted(ALIASES), "SOMETHING_ELSE"]
+_kind_of = "[" + ", ".join(map(s, _kinds)) + f"][request_id % {len(_kinds)} + 1]"
+_handler = table("query_type", ALIASES, "query_type")
+cte("mixed", f"SELECT *, {_handler} AS handler FROM (SELECT request_id, {_kind_of} AS query_type FROM asks)")
+_entry_types = sorted(set(HANDLERS) - {"ROOT_EXISTS", "CONCEPT_TO_ROOT_SEARCH", "CLAIM_EVIDENCE", "DERIVATIVE_TO_ORIGIN_ATTESTATION", "TRACE_LOOKUP"})
+cte("mixed_rows", f"""SELECT m.request_id, query_type, a.found, a.query_status, a.canonical_root, e.entry_id,
+  CASE handler WHEN 'ROOT_SEMANTIC_ORIGINS' THEN a.min_confidence WHEN 'ENTRY_QUALIFICATION' THEN round(a.mean_confidence, 2) END AS confidence
+  FROM mixed m JOIN answers a USING (request_id) LEFT JOIN found e USING (request_id) WHERE handler IN {lst(_entry_types)}
+  UNION ALL SELECT m.request_id, query_type, a.found, a.query_status, a.canonical_root, NULL, NULL FROM mixed m JOIN answers a USING (request_id) WHERE handler = 'ROOT_EXISTS'
+  UNION ALL SELECT m.request_id, query_type, coalesce(v.c, 0) > 0, a.query_status, a.canonical_root, NULL, a.min_confidence
+    FROM mixed m JOIN answers a USING (request_id) LEFT JOIN verdicts v USING (request_id) WHERE handler = 'CLAIM_EVIDENCE'
+  UNION ALL SELECT m.request_id, query_type, h.entry_id IS NOT NULL, CASE WHEN a.query_status = 'INVALID_ROOT_INPUT' THEN a.query_status WHEN h.entry_id IS NULL THEN 'NOT_FOUND' ELSE 'OK' END,
+    a.canonical_root, h.entry_id, NULL FROM mixed m JOIN answers a USING (request_id) LEFT JOIN (SELECT f.request_id, f.entry_id FROM found f JOIN asks q USING (request_id)
+      WHERE coalesce(q.lemma, '') <> '' AND contains(f.body_text, q.lemma)) h USING (request_id) WHERE handler = 'DERIVATIVE_TO_ORIGIN_ATTESTATION'
+  UNION ALL SELECT m.request_id, query_type, a.found, a.query_status, a.canonical_root, e.entry_id, NULL FROM mixed m JOIN answers a USING (request_id)
+    LEFT JOIN found e USING (request_id) LEFT JOIN events v ON v.user_id = e.entry_id WHERE handler = 'TRACE_LOOKUP'
+  UNION ALL SELECT m.request_id, query_type, h.entry_id IS NOT NULL, CASE WHEN q.concept IS NULL THEN 'MISSING_PARAM' WHEN h.entry_id IS NULL THEN 'NOT_FOUND' ELSE 'OK' END,
+    NULL, h.entry_id, NULL FROM mixed m JOIN c7_asks q USING (request_id) LEFT JOIN c7_hits h USING (request_id) WHERE handler = 'CONCEPT_TO_ROOT_SEARCH'
+  UNION ALL SELECT request_id, query_type, false, 'UNKNOWN_QUERY_TYPE', NULL, NULL, NULL FROM mixed WHERE handler NOT IN {lst(HANDLERS)}""")
+sql("Q20_run_queries", """SELECT request_id, query_type, found, query_status, canonical_root, count(entry_id) AS rows,
+  count(CASE WHEN query_status <> 'UNKNOWN_QUERY_TYPE' THEN 1 END) AS payloads FROM mixed_rows GROUP BY request_id, query_type, found, query_status, canonical_root""")
+sql("Q20_answers", "SELECT * FROM mixed_rows")
 sql("Q21_stats", """SELECT 'total_entries' AS metric, count(*) AS value FROM enriched UNION ALL SELECT 'total_axes', count(*) FROM axis_rows
   UNION ALL SELECT 'total_poetry_lines', CAST(sum(len(poetry_lines)) AS BIGINT) FROM enriched UNION ALL SELECT 'type:' || entry_type, count(*) FROM enriched GROUP BY entry_type""")
 sql("Q22_top_axes", "SELECT axis_text, count(*) AS n FROM axis_rows GROUP BY axis_text ORDER BY n DESC, axis_text LIMIT 5")
 sql("Q22_type_distribution", "SELECT entry_type, count(*) AS n FROM enriched GROUP BY entry_type")
+
+for _n, _text in SQL.items():
+    SQL[_n] = with_ctes(_text)

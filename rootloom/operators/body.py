@@ -91,7 +91,11 @@ def segment_arrays(bodies: DataFrame, pack: DiscoursePack, body: str = "body") -
 
 def segment_body(bodies: DataFrame, pack: DiscoursePack, body: str = "body") -> DataFrame:
     """Long form (entry_id, pos, segment_type, marker, text, origin_index)."""
-    arrays = segment_arrays(bodies.select("entry_id", body), pack, body)
+    return segment_rows(segment_arrays(bodies.select("entry_id", body), pack, body))
+
+
+def segment_rows(arrays: DataFrame) -> DataFrame:
+    """The segments of ``segment_arrays``, a row each."""
     rows = arrays.select("entry_id", "boundary_pos", F.posexplode_outer("segments").alias("pos", "s"))
     return rows.where(F.col("s").isNotNull()).select("entry_id", "pos", F.col("s.type").alias("segment_type"), F.col("s.marker").alias("marker"),
                        F.col("s.text").alias("text"), origin_index(F.col("pos"), F.col("boundary_pos"))

@@ -17,12 +17,12 @@ MAX_SUBJECTS = 5
 
 
 def _words(df: DataFrame, value: str, order: Column, rank: int, layer: str, field: str,
-           profile: Profile) -> DataFrame:
+           profile: Profile, turn: int = 0) -> DataFrame:
     tokens = F.filter(F.split(F.col(value), r"\s+"), lambda t: t != "")
     rows = df.where(F.col(value).isNotNull()).select(
         "entry_id", order.cast("long").alias("place"), F.posexplode(tokens).alias("at", "token"))
     return rows.select("entry_id", normalize(F.col("token"), profile).alias("word"),
-                       F.struct(F.lit(rank).alias("rank"), "place", "at", F.lit(layer).alias("source_layer"),
+                       F.struct(F.lit(rank).alias("rank"), "place", F.lit(turn).alias("turn"), "at", F.lit(layer).alias("source_layer"),
                                 F.lit(field).alias("source_field")).alias("seen"))
 
 
@@ -32,6 +32,7 @@ def entity_words(found: DataFrame, branch: DataFrame, terms: DataFrame, concept:
     parts = [
         _words(found, "semantic_nucleus", F.col("origin_index"), 0, "L3_nucleus", "semantic_nucleus", profile),
         _words(branch, "source_form", F.col("pos"), 1, "L3_branch", "source_lexical_form", profile),
+        _words(branch, "normalized_form", F.col("pos"), 1, "L3_branch", "normalized_form", profile, 1),
         _words(terms, "surface", F.lit(0), 2, "L2_term", "lexical_form", profile),
         _words(concept.select("entry_id", "origin_index", F.col("genus.concept_ref").alias("concept_ref")),
                "concept_ref", F.col("origin_index"), 3, "L4_genus", "concept_ref", profile)]

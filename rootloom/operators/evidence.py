@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rootloom.functions import checksum, exact_avg, first_label, normalize, once, root_profile, strip_ws, volume_number
+from rootloom.functions import (
+    best_text, checksum, exact_avg, first_label, fix_ocr, normalize, once, root_profile, strip_ws, volume_number,
+)
 from rootloom.operators.body import body_line_refs, ordered_text
 from rootloom.rules import vocab as V
 from rootloom.rules.model import DiscoursePack, Profile
@@ -20,8 +22,11 @@ def confusion_detection(raw: Column, corrected: Column, pack: DiscoursePack) ->
         F.when(raw.contains(a) & ~corrected.contains(a), F.lit(f"'{a}'→'{b}'")) for a, b in pack.confusions)))
 
 
-def source_evidence(entries: DataFrame, lines: DataFrame, pack: DiscoursePack) -> DataFrame:
-    """One row per entry from its own body lines (poetry left out), in line order."""
+def source_evidence(entries: DataFrame, lines: DataFrame, pack: DiscoursePack, with_body: bool = False) -> DataFrame:
+    """One row per entry from its own body lines (poetry left out), in line order.
+
+    ``with_body`` adds the column of ``resolve_body``, so that both come from one join of entries and lines.
+    """
     layers = lines.select(
         "line_id", F.lit(True).alias("hit"), text("raw_ocr").alias("raw"), text("corrected_ocr").alias("fixed"),
         text("human_text").alias("human"),
@@ -34,7 +39,10 @@ def source_evidence(entries: DataFrame, lines: DataFrame, pack: DiscoursePack) -
     pairs = F.array_sort(F.collect_list(F.when(found, F.struct(
         "pos", confusion_detection(raw, text("fixed"), pack).alias("c")))))
     box = F.col("bounding_box")
+    shown_text = best_text(F.col("human"), F.col("fixed"), F.col("raw"))
+    more = [fix_ocr(ordered_text("pos", shown_text), pack.ocr_fix).alias("body")] if with_body else []
     per_entry = joined.groupBy("entry_id").agg(
+        *more,
         F.count("line_id").alias("body_lines"), F.count_if(found).alias("lines_found"),
         ordered_text("pos", raw).alias("raw_ocr_text"), ordered_text("pos", text("fixed")).alias("normalized_text"),
         ordered_text("pos", text("human")).alias("human_corrected_text"),
@@ -148,6 +156,14 @@ def source_bundles(entries: DataFrame, evidence: DataFrame, pack: DiscoursePack,
         "letter_count", "ocr_confidence", "coverage_state", "residuals", "ontology_buildable")
 
 
+def with_conflicts(bundles: DataFrame, conflicts: DataFrame) -> DataFrame:
+    """Bundles with the residual of entries whose references run in a circle (entry_id, residual), which blocks later layers."""
+    more = conflicts.select("entry_id", F.col("residual").alias("conflict"))
+    return bundles.join(more, "entry_id", "left").withColumns({
+        "residuals": F.when(F.col("conflict").isNull(), F.col("residuals")).otherwise(F.array_append("residuals", F.col("conflict"))),
+        "ontology_buildable": F.col("ontology_buildable") & F.col("conflict").isNull()}).select(bundles.columns)
+
+
 def root_members(bundles: DataFrame) -> DataFrame:
     """Long form: every entry of a root, the first one marked primary."""
     first = bundles.groupBy("root_letters").agg(F.min(F.struct("line_no", "entry_id")).alias("p"))

@@ -11,15 +11,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rootloom.functions import strip_ws
+from rootloom.functions import label_map, strip_ws
 from rootloom.operators.claims import candidate_count
 from rootloom.operators.predicates import licence_refusal, uncovered
 from rootloom.rules import vocab as V
-from rootloom.session import broadcast_if_small
+from rootloom.session import broadcast_if_small, dealt_join
 
 MACHINE_ONLY, REVIEW = "FOUND_MACHINE_CANDIDATE_ONLY", "FOUND_REVIEW_REQUIRED_UNRESOLVED"
 CONFLICT, GAP = "FOUND_CONFLICT_REVIEW_REQUIRED", "MISSING_VOLUME_COVERAGE_GAP"
 ABSENT, FAILED = "NOT_FOUND_IN_COVERED_VOLUME", "REGISTRY_LOAD_FAILURE"
+#: Lookup kinds that a human review gives, by the state that it leaves the first candidate in.
+REVIEWED = {"IDENTITY_CANDIDATE": "FOUND_IDENTITY_CANDIDATE", "IDENTITY_VERIFIED": "FOUND_IDENTITY_VERIFIED", "TEXT_VERIFIED": "FOUND_TEXT_VERIFIED",
+            "LEXICALLY_REVIEWED": "FOUND_LEXICALLY_REVIEWED", "AUDIT_PASSED": "FOUND_LEXICALLY_REVIEWED"}
 FOUND = (MACHINE_ONLY, "FOUND_IDENTITY_CANDIDATE", "FOUND_IDENTITY_VERIFIED", "FOUND_TEXT_VERIFIED",
          "FOUND_LEXICALLY_REVIEWED", CONFLICT, REVIEW)
 ORIGIN_ID_CAP = 3
@@ -59,23 +62,49 @@ def root_facts(imports: DataFrame) -> DataFrame:
         F.min(F.when(used, candidate)).alias("candidate"))
 
 
+def review_outcomes(certificates: DataFrame) -> DataFrame:
+    """(target_id, reviewed_state, certificate_id): where an entity's certificates, folded in order of time, leave it.
+
+    A certificate sets the state it grants, whatever the state was, unless only a machine signed it: that can't grant a
+    state that takes a human. So the fold is the latest certificate that counts (ties: the largest id), and an entity with any number
+    of certificates condenses before the shuffle.
+    """
+    machine = F.col("reviewer_type") == "MACHINE_ONLY"
+    counts = certificates.where(~(machine & F.col("granted_state").isin(*V.HUMAN_STATES)))
+    last = counts.groupBy("target_id").agg(F.max(F.struct("reviewed_at", "certificate_id", "granted_state", "reviewer_type")).alias("c"))
+    return last.select("target_id", F.col("c.granted_state").alias("reviewed_state"), F.col("c.certificate_id").alias("certificate_id"),
+                       (F.col("c.reviewer_type") != "MACHINE_ONLY").alias("by_human"))
+
+
 def governed_lookup(requests: DataFrame, imports: DataFrame, missing: Sequence[str],
                     initial_profile=None, load_failed: bool = False,
-                    health: DataFrame | None = None) -> DataFrame:
+                    health: DataFrame | None = None, certificates: DataFrame | None = None,
+                    namespace: str = "lex") -> DataFrame:
+    """A row per request. ``certificates`` (target_id: a candidate) lift roots whose first candidate a human reviewed to
+    the kind of the state it was left in; a root in conflict stays that. Verified candidates carry an identity."""
     facts = root_facts(for_requests(imports, requests))
+    if certificates is not None:
+        facts = facts.withColumn("target_id", F.col("candidate.candidate_id")).join(
+            review_outcomes(certificates).where("by_human"), "target_id", "left").drop("target_id")
+    else:
+        facts = facts.withColumns({"reviewed_state": F.lit(None).cast("string"), "certificate_id": F.lit(None).cast("string")})
     root = F.coalesce("root", F.lit(""))
     joined = requests.withColumn("root_letters", strip_ws(root)).join(facts, "root_letters", "left")
     absent = F.col("import_count").isNull()
     gap = uncovered(F.col("root_letters"), missing, initial_profile)
+    reviewed = label_map(F.col("reviewed_state"), REVIEWED)
     kind = (F.when(F.lit(load_failed), FAILED)
             .when(F.col("root_letters") == "", ABSENT).when(gap, GAP).when(absent, ABSENT)
-            .when(F.col("is_conflict"), CONFLICT).when(F.col("all_agreed"), MACHINE_ONLY).otherwise(REVIEW))
+            .when(F.col("is_conflict"), CONFLICT).when(reviewed.isNotNull(), reviewed).when(F.col("all_agreed"), MACHINE_ONLY).otherwise(REVIEW))
     found = F.col("kind").isin(*FOUND)
     out = joined.withColumn("kind", kind).withColumns({
         "found": found, "has_conflict": F.col("kind") == CONFLICT, "coverage_gap": F.col("kind") == GAP,
         "is_machine_only": F.col("kind").isin(MACHINE_ONLY, REVIEW),
         "evidence_status": F.lit(V.EVIDENCE_STATUSES[0]),
-        "review_state": F.when(~found, "UNREVIEWED").when(F.col("any_machine"), "IDENTITY_CANDIDATE")
+        "carrier_id": F.when(F.col("kind").isin("FOUND_IDENTITY_VERIFIED", "FOUND_TEXT_VERIFIED", "FOUND_LEXICALLY_REVIEWED"), F.concat(
+            F.lit(f"{namespace}:root-identity-carrier:"), "root_letters", F.lit(":"), F.col("certificate_id"))),
+        "review_state": F.when(~found, "UNREVIEWED").when(F.col("kind").isin(*REVIEWED.values()), F.col("reviewed_state"))
+        .when(F.col("any_machine"), "IDENTITY_CANDIDATE")
         .otherwise("UNVERIFIED_REVIEW_REQUIRED"),
         "coverage_note": F.when(F.col("kind") == GAP, F.concat(
             F.lit("Root '"), F.col("root_letters"),
@@ -94,44 +123,56 @@ def with_health(lookups: DataFrame, health: DataFrame) -> DataFrame:
         F.broadcast(health.withColumn("_one", F.lit(1))), "_one").drop("_one")
 
 
-def governed_evidence_ids(lookups: DataFrame, claims: DataFrame, origins: DataFrame,
-                          namespace: str = "lex") -> DataFrame:
-    """Long form (request_id, step, position, evidence_id) in reference order:
-    chapter, first real origin, candidate, claims, up to three origins."""
-    lookups = lookups.where("found")
+def root_evidence_ids(lookups: DataFrame, claims: DataFrame, origins: DataFrame, namespace: str = "lex",
+                      origin_cap: int = ORIGIN_ID_CAP) -> DataFrame:
+    """Long form (root_letters, step, position, evidence_id), once per distinct root found, in reference order.
+
+    Chapter for every kind; of machine candidates the first real origin, the candidate, claims and up to ``origin_cap`` origins; of
+    reviewed kinds the whole chain: candidate, carrier, claims, origins. Conflicts and unresolved reviews show the chapter only.
+    """
+    heads = lookups.where("found").select("root_letters", "kind", F.col("candidate.bab_letter").alias("chapter"), F.col(
+        "candidate.candidate_id").alias("candidate_id"), "carrier_id").dropDuplicates(["root_letters"])
     ns = f"{namespace}:root:"
-    chapter = lookups.where(F.coalesce("candidate.bab_letter", F.lit("")) != "").select(
-        "request_id", F.lit(0).alias("step"), F.lit(0).cast("long").alias("position"),
-        F.concat(F.lit(ns), "root_letters", F.lit(":bab:"), F.col("candidate.bab_letter")).alias("evidence_id"))
-    machine = lookups.where(F.col("kind") == MACHINE_ONLY).select(
-        "request_id", "root_letters", F.col("candidate.candidate_id").alias("candidate_id"), "root")
-    asked = machine.select("request_id", "root_letters")
-    mine, my_origins = for_requests(claims, machine), for_requests(origins, machine)
+
+    def row(df: DataFrame, step: int, value, position=F.lit(0)) -> DataFrame:
+        return df.select("root_letters", F.lit(step).alias("step"), position.cast("long").alias("position"), value.alias("evidence_id"))
+    chapter = row(heads.where(F.coalesce("chapter", F.lit("")) != ""), 0, F.concat(F.lit(ns), "root_letters", F.lit(":bab:"), "chapter"))
+    machine = heads.where(F.col("kind") == MACHINE_ONLY)
+    chained = heads.where(F.col("kind").isin(MACHINE_ONLY, *REVIEWED.values()))
+
+    def mine(df: DataFrame, roots: DataFrame) -> DataFrame:
+        return df.join(broadcast_if_small(roots.select("root_letters")), "root_letters", "left_semi")
     real = ~F.col("origin_type").isin(*V.NO_ORIGIN_TYPES)
     count = F.when(candidate_count() > 0, candidate_count().cast("string")).otherwise("none")
-    first = mine.where(real).groupBy("root_letters").agg(
+    first = mine(claims, machine).where(real).groupBy("root_letters").agg(
         F.min(F.struct("line_no", F.col("origin_type").alias("t"), count.alias("c"))).alias("f"))
-    origin = asked.join(first, "root_letters").select(
-        "request_id", F.lit(1).alias("step"), F.lit(0).cast("long").alias("position"),
-        F.concat(F.lit(ns), "root_letters", F.lit(":origin:"), F.col("f.t"), F.lit(":count:"), F.col("f.c"))
-        .alias("evidence_id"))
-    candidate = machine.where(F.col("candidate_id").isNotNull()).select(
-        "request_id", F.lit(2).alias("step"), F.lit(0).cast("long").alias("position"),
-        F.col("candidate_id").alias("evidence_id"))
-    claim_ids = asked.join(mine.select("root_letters", "line_no", "claim_id"), "root_letters").select(
-        "request_id", F.lit(3).alias("step"), F.col("line_no").alias("position"),
-        F.col("claim_id").alias("evidence_id"))
+    origin = row(first, 1, F.concat(F.lit(ns), "root_letters", F.lit(":origin:"), F.col("f.t"), F.lit(":count:"), F.col("f.c")))
+    candidate = row(chained.where(F.col("candidate_id").isNotNull()), 2, F.col("candidate_id"))
+    carrier = row(chained.where(F.col("carrier_id").isNotNull()), 2, F.col("carrier_id"), F.lit(1))
+    claim_ids = row(mine(claims, chained), 3, F.col("claim_id"), F.col("line_no"))
     order = Window.partitionBy("root_letters").orderBy("line_no")
-    top = my_origins.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= ORIGIN_ID_CAP)
-    origin_ids = asked.join(top.select("root_letters", "line_no", "origin_id"), "root_letters").select(
-        "request_id", F.lit(4).alias("step"), F.col("line_no").alias("position"),
-        F.col("origin_id").alias("evidence_id"))
-    return reduce(DataFrame.unionByName, [chapter, origin, candidate, claim_ids, origin_ids])
+    top = mine(origins, machine).withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= origin_cap)
+    every = mine(origins, chained.where(F.col("kind") != MACHINE_ONLY))
+    origin_ids = [row(df, 4, F.col("origin_id"), F.col("line_no")) for df in (top, every)]
+    return reduce(DataFrame.unionByName, [chapter, origin, candidate, carrier, claim_ids, *origin_ids])
+
+
+def for_each_request(ids: DataFrame, requests: DataFrame, spread_by: str) -> DataFrame:
+    """The view by request of a table by root: as many rows as requests times ids of their root, hot roots dealt out."""
+    return dealt_join(ids, requests.select("request_id", "root_letters"), "root_letters", spread_by)
+
+
+def governed_evidence_ids(lookups: DataFrame, claims: DataFrame, origins: DataFrame,
+                          namespace: str = "lex") -> DataFrame:
+    """``root_evidence_ids`` by request: (request_id, step, position, evidence_id)."""
+    ids = root_evidence_ids(lookups, claims, origins, namespace)
+    return for_each_request(ids, lookups.where("found"), "evidence_id").select("request_id", "step", "position", "evidence_id")
 
 
-def evidence_metadata(lookups: DataFrame, evidence: DataFrame) -> DataFrame:
-    head = lookups.select("request_id", "root_letters", "kind", "evidence_status", "review_state")
-    return evidence.join(head, "request_id")
+def evidence_metadata(lookups: DataFrame, ids: DataFrame) -> DataFrame:
+    """Ids by root with the state of their root's lookup, by root as well."""
+    head = lookups.select("root_letters", "kind", "evidence_status", "review_state").dropDuplicates(["root_letters"])
+    return dealt_join(ids, head, "root_letters", "evidence_id")
 
 
 def coverage_status(kind: Column) -> Column:
@@ -168,35 +209,40 @@ def licensed_augmentation(requests: DataFrame, imports: DataFrame, missing: Sequ
     return accepted.unionByName(refused)
 
 
-def augmentation_ids(requests: DataFrame, claims: DataFrame, residuals: DataFrame,
-                     traces: DataFrame) -> DataFrame:
-    """Long form (request_id, id_kind, id): passages, open residuals and traces of licensed roots."""
+def root_augmentation_ids(requests: DataFrame, claims: DataFrame, residuals: DataFrame, traces: DataFrame) -> DataFrame:
+    """Long form (root_letters, id_kind, id): passages, open residuals and traces, once per licensed root."""
     ok = requests.where(licence_refusal(F.col("directive"), F.col("root")).isNull())
-    asked = ok.select("request_id", strip_ws(F.col("root")).alias("root_letters"))
 
     def ids(df: DataFrame, kind: str, key: str) -> DataFrame:
-        rows = for_requests(df.select("root_letters", F.col(key).alias("id")), ok)
-        return asked.join(rows, "root_letters").select("request_id", F.lit(kind).alias("id_kind"), "id")
+        return for_requests(df.select("root_letters", F.lit(kind).alias("id_kind"), F.col(key).alias("id")), ok)
     return reduce(DataFrame.unionByName, [
         ids(claims, "passage", "passage_id"),
         ids(residuals.where(F.col("resolved_at").isNull()), "residual", "residual_id"),
         ids(traces, "trace", "trace_id")])
 
 
-def lookup_explain(lookups: DataFrame, evidence: DataFrame, residuals: DataFrame,
+def augmentation_ids(requests: DataFrame, claims: DataFrame, residuals: DataFrame,
+                     traces: DataFrame) -> DataFrame:
+    """``root_augmentation_ids`` by licensed request: (request_id, id_kind, id)."""
+    ok = requests.where(licence_refusal(F.col("directive"), F.col("root")).isNull())
+    asked = ok.select("request_id", strip_ws(F.col("root")).alias("root_letters"))
+    return for_each_request(root_augmentation_ids(requests, claims, residuals, traces), asked, "id").select("request_id", "id_kind", "id")
+
+
+def lookup_explain(lookups: DataFrame, ids: DataFrame, residuals: DataFrame,
                    origins: DataFrame, gates: DataFrame) -> DataFrame:
-    """Review table: counts and flags per looked-up root (per-root counts, no lists)."""
-    n_ids = evidence.groupBy("request_id").agg(F.count("*").alias("evidence_id_count"))
+    """Review table: counts and flags per looked-up root (per-root counts, no lists); ``ids`` as of ``root_evidence_ids``."""
+    n_ids = ids.groupBy("root_letters").agg(F.count("*").alias("evidence_id_count"))
     n_open = for_requests(residuals.where(F.col("resolved_at").isNull()), lookups).groupBy(
         "root_letters").agg(F.count("*").alias("open_residuals"))
     n_origins = for_requests(origins, lookups).groupBy("root_letters").agg(F.count("*").alias("origins_count"))
     first = for_requests(gates, lookups).groupBy("root_letters").agg(
         F.min(F.struct("line_no", F.array_join("flagged", ",").alias("flagged"))).alias("g"))
-    return (lookups.join(n_ids, "request_id", "left").join(n_open, "root_letters", "left")
+    return (lookups.join(n_ids, "root_letters", "left").join(n_open, "root_letters", "left")
             .join(n_origins, "root_letters", "left").join(first, "root_letters", "left")
             .select("request_id", "root_letters", "kind", "evidence_status", "review_state", "found",
                     "is_machine_only", "has_conflict", "coverage_gap",
-                    F.coalesce("evidence_id_count", F.lit(0)).alias("evidence_id_count"),
+                    F.when(F.col("found"), F.coalesce("evidence_id_count", F.lit(0))).otherwise(0).alias("evidence_id_count"),
                     F.when(F.col("found"), F.coalesce("open_residuals", F.lit(0))).otherwise(0)
                     .alias("open_residuals"),
                     F.when(F.col("found"), F.coalesce("claim_count", F.lit(0))).otherwise(0).alias("claims_count"),

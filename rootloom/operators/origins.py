@@ -10,7 +10,7 @@ from rootloom.functions import first_label, first_text, normalize, normalize_roo
 from rootloom.operators.claimgraph import edge, node_id
 from rootloom.rules import vocab as V
 from rootloom.rules.model import DiscoursePack, Profile
-from rootloom.session import ensure_checkpoint_dir
+from rootloom.session import held
 
 GLOSS = 200
 
@@ -71,11 +71,12 @@ def branches(claims: DataFrame, found: DataFrame, pack: DiscoursePack) -> DataFr
     per_origin = Window.partitionBy("entry_id", "origin_index").orderBy("pos")
     gloss = F.col("gloss")
     relation = first_label(gloss, pack.relations, None)
+    form = F.nullif(strip_ws(F.col("term")), F.lit(""))
     items = once(items.withColumn("gloss", F.substring(strip_ws(shown), 1, GLOSS)), "gloss")
     return (once(items.withColumn("stated_relation", relation), "stated_relation")
             .select(node_id("BR", F.col("entry_id"), F.col("pos")).alias("branch_id"), "entry_id", "pos", "origin_id",
                     "origin_index", (F.row_number().over(per_origin) - 1).alias("branch_index"),
-                    F.nullif(strip_ws(F.col("term")), F.lit("")).alias("source_form"), gloss,
+                    form.alias("source_form"), F.nullif(normalize(form, pack.origin_profile), F.lit("")).alias("normalized_form"), gloss,
                     F.substring(gloss, 1, 100).alias("sense"),
                     F.coalesce("stated_relation", F.lit("DIRECT_INSTANCE")).alias("relation"),
                     F.when(F.col("stated_relation").isNotNull(), "STRONGLY_IMPLIED").otherwise("SYSTEM_INFERRED")
@@ -130,34 +131,93 @@ def resolve_cross_refs(xref: DataFrame, entries: DataFrame, profile: Profile) ->
 
 
 def cycle_check(edges: DataFrame, source: str = "src", target: str = "dst") -> DataFrame:
-    """Edges that lie on a cycle.
-
-    Peeling first drops edges into dead ends and out of nodes nothing points to, which ends the job
-    on a graph without cycles. Of what is left, an edge goes when its ends differ in the least node
-    that reaches them, or in the least node that they reach, until none does: then every connected
-    part is reached by its least node and reaches it. Rounds are checkpointed, so a lost executor
-    never replays the whole loop.
+    """Edges that lie on a cycle, distinct.
+
+    The graph shrinks in rounds, each of which rakes and compresses: edges into dead ends and out of nodes nothing points to go,
+    parallel edges become one, and chains (nodes with one edge in and one out) become one edge each, by pointer doubling. So trees
+    and chains of any length end after a number of rounds logarithmic in their size; a chain that closes on itself is a cycle.
+    What can't be shrunk further is cut into its strongly connected parts. ``kept`` says which edge of the shrunken graph
+    stands for an edge of the input; an edge lies on a cycle if and only if the one that stands for it does. Rounds are
+    checkpointed, so a lost executor never replays the loop.
     """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    left = edges.select(F.col(source).alias("src"), F.col(target).alias("dst")).distinct().checkpoint()
+    given = edges.select(F.col(source).alias("src"), F.col(target).alias("dst")).where(
+        F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct().withColumn("edge", F.monotonically_increasing_id())
+    given = held(given)
+    left, kept = given.where("src != dst"), given.select("edge", F.col("edge").alias("by"))
+    cyclic = [given.where("src = dst").select("edge")]
     size = left.count()
     while size:
+        before = size
         alive = left.select(F.col("src").alias("dst")).distinct()
         reached = left.select(F.col("dst").alias("src")).distinct()
-        peeled = left.join(alive, "dst", "left_semi").join(reached, "src", "left_semi").select("src", "dst")
-        peeled = peeled.checkpoint()
-        now = peeled.count()
-        left, size, before = peeled, now, size
-        if now == before:
+        left = left.join(alive, "dst", "left_semi").join(reached, "src", "left_semi").select("edge", "src", "dst")
+        left, kept = _without_parallels(held(left), kept)
+        left, kept, closed = _compressed(left, kept)
+        cyclic.append(closed)
+        size = left.count()
+        if size == before:
             break
+    if size:
+        core = _strong_edges(left)
+        cyclic.append(kept.join(core.select(F.col("edge").alias("by")), "by").select("edge"))
+    on = reduce(DataFrame.unionByName, cyclic)
+    return given.join(on, "edge", "left_semi").select("src", "dst")
+
+
+def _without_parallels(edges: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One edge for all with the same ends."""
+    one = edges.groupBy("src", "dst").agg(F.min("edge").alias("one"), F.count("*").alias("n"))
+    if one.where("n > 1").isEmpty():
+        return edges, kept
+    to = edges.join(one.where("n > 1"), ["src", "dst"]).where("edge != one").select(F.col("edge").alias("by"), "one")
+    kept = held(kept.join(to, "by", "left").select("edge", F.coalesce("one", "by").alias("by")))
+    return held(one.select(F.col("one").alias("edge"), "src", "dst")), kept
+
+
+def _compressed(edges: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(edges, kept, input edges on chains that close on themselves): every chain is one edge, named after its first."""
+    ins = edges.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("i"), F.max("edge").alias("into"))
+    outs = edges.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("o"))
+    links = held(ins.join(outs, "node").where("i = 1 AND o = 1").select("node", "into"))
+    none = kept.select("edge").where(F.lit(False))
+    if links.isEmpty():
+        return edges, kept, none
+    ends = edges.join(links.select(F.col("node").alias("src"), "into"), "src", "left").join(
+        links.select(F.col("node").alias("dst"), F.lit(True).alias("goes_on")), "dst", "left")
+    ends = held(ends.select("edge", "src", "dst", "into", F.coalesce("goes_on", F.lit(False)).alias("goes_on")))
+    # an edge's pointer leads to the edge before it, then twice as far each round, until it stops at a chain's first edge
+    heads = ends.where(F.col("into").isNull()).select("edge", F.col("edge").alias("head"))
+    open_ = held(ends.where(F.col("into").isNotNull()).select("edge", F.col("into").alias("to")))
+    done, waiting = held(heads), open_.count()
+    while waiting:
+        hits = open_.join(done.select(F.col("edge").alias("to"), "head"), "to")
+        done = held(done.unionByName(hits.select("edge", "head")))
+        rest = open_.join(hits.select("edge"), "edge", "left_anti")
+        open_ = held(rest.join(open_.select(F.col("edge").alias("to"), F.col("to").alias("further")), "to").select("edge", F.col("further").alias("to")))
+        before, waiting = waiting, open_.count()
+        if waiting == before:  # nothing came to a first edge: only closed chains are left
+            break
+    closed = kept.join(open_.select(F.col("edge").alias("by")), "by").select("edge")
+    chains = done.join(ends.select("edge", "dst", "goes_on"), "edge").where(~F.col("goes_on")).select("head", "dst")
+    first = ends.where(F.col("into").isNull()).select(F.col("edge").alias("head"), "src")
+    shrunk = held(first.join(chains, "head").select(F.col("head").alias("edge"), "src", "dst"))
+    kept = held(kept.join(done.select(F.col("edge").alias("by"), "head"), "by").select("edge", F.col("head").alias("by")))
+    loops = shrunk.where("src = dst").select(F.col("edge").alias("by"))
+    closed = held(closed.unionByName(kept.join(loops, "by").select("edge")))
+    return held(shrunk.where("src != dst")), kept, closed
+
+
+def _strong_edges(edges: DataFrame) -> DataFrame:
+    """Edges inside strongly connected parts: an edge goes when its ends differ in the least node that reaches them, or
+    in the least node that they reach, until none does."""
+    left, size = edges, edges.count()
     while size:
         before = size
         for a, b in (("src", "dst"), ("dst", "src")):
             least = _least_reaching(left, a, b)
             ends = left.join(least.select(F.col("node").alias("src"), F.col("least").alias("p")), "src")
             ends = ends.join(least.select(F.col("node").alias("dst"), F.col("least").alias("q")), "dst")
-            left = ends.where("p = q").select("src", "dst").checkpoint()
+            left = held(ends.where("p = q").select("edge", "src", "dst"))
         size = left.count()
         if size == before:
             break
@@ -167,19 +227,27 @@ def cycle_check(edges: DataFrame, source: str = "src", target: str = "dst") -> D
 def _least_reaching(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, least): the least node from which edges read from a to b lead to the node, itself included."""
     nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
-    labels = nodes.select("node", F.col("node").alias("least")).checkpoint()
+    labels = held(nodes.select("node", F.col("node").alias("least")))
     while True:
         offered = edges.join(labels.withColumnRenamed("node", a), a).select(F.col(b).alias("node"), "least")
         both = labels.withColumn("old", F.col("least")).unionByName(offered, allowMissingColumns=True)
-        found = both.groupBy("node").agg(F.min("least").alias("least"), F.max("old").alias("old")).checkpoint()
+        found = held(both.groupBy("node").agg(F.min("least").alias("least"), F.max("old").alias("old")))
         labels = found.select("node", "least")
         if found.where("least < old").isEmpty():
             return labels
 
 
-def entry_cycle_residuals(edges: DataFrame) -> DataFrame:
-    """Entries that take part in a reference cycle."""
-    return cycle_check(edges).select(F.col("src").alias("node")).distinct().withColumn(
+def reference_edges(refs: DataFrame, entries: DataFrame, profile: Profile) -> DataFrame:
+    """(entry_id, src, dst): from an entry's root to the root that one of its resolved cross references names."""
+    roots = entries.select("entry_id", normalize_root(F.col("root_letters"), profile).alias("src"))
+    return refs.where("resolved").join(roots, "entry_id").where(F.col("src") != "").select(
+        "entry_id", "src", F.col("target_root").alias("dst"))
+
+
+def entry_conflicts(edges: DataFrame) -> DataFrame:
+    """(entry_id, residual) of entries with a reference that lies on a cycle; ``edges`` as of ``reference_edges``."""
+    edges = held(edges)
+    return edges.join(cycle_check(edges), ["src", "dst"], "left_semi").select("entry_id").distinct().withColumn(
         "residual", F.lit("INTER_ENTRY_CONFLICT"))
 
 

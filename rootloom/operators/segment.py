@@ -14,7 +14,6 @@ from rootloom.functions import strip_ws
 from rootloom.rules.model import LinePack
 
 PAGES_PER_BLOCK = 1000
-MAX_ENTRY_LINES = 100_000
 
 
 def page_lines(pages: DataFrame, book: str = "book", page: str = "page_num",
@@ -116,15 +115,41 @@ def entry_lines(pages: DataFrame, pack: LinePack, book: str = "book", page: str
                     "chapter", "start_root", "start_display", "refs"))
 
 
+def numbered_entry_lines(lines: DataFrame) -> DataFrame:
+    """Entry lines with ``line_num``, their place in the entry from 0, and whether the entry has any body line (``filled``).
+
+    A two-level scan: lines are numbered inside their block, and counts of an entry's earlier blocks are added. An entry may
+    hold any number of lines, since no window and no row spans more than a block of it.
+    """
+    blocks = lines.groupBy("book", "entry_num", "block").agg(
+        F.count("*").alias("n"), F.max((F.col("role") != "footnote").cast("int")).alias("has_body"))
+    earlier = Window.partitionBy("book", "entry_num").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("book", "entry_num")  # a row per block
+    blocks = blocks.select("book", "entry_num", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"),
+                           (F.max("has_body").over(whole) == 1).alias("filled"))
+    inside = Window.partitionBy("book", "entry_num", "block").orderBy("page_num", "pos")
+    return (lines.withColumn("at", F.row_number().over(inside) - 1).join(blocks, ["book", "entry_num", "block"])
+            .withColumn("line_num", F.col("earlier") + F.col("at")).drop("at", "earlier"))
+
+
+def entry_heads(lines: DataFrame) -> DataFrame:
+    """A row per entry with a body line: what its opening line says, and how many lines of each role it has."""
+    head = F.struct("page_num", "pos", "chapter", "start_root", "start_display")
+    heads = lines.groupBy("book", "entry_num").agg(
+        F.min(F.when(F.col("opener").isNotNull(), head)).alias("head"),
+        *(F.count_if(F.col("role") == role).alias(f"{role}_lines") for role in ("text", "poetry", "footnote")))
+    return heads.where(F.col("text_lines") + F.col("poetry_lines") > 0).select(
+        "book", "entry_num", F.coalesce(F.nullif(F.col("head.start_root"), F.lit("")), F.col("head.start_display")).alias("root_letters"),
+        F.col("head.start_display").alias("root_display"), F.col("head.chapter").alias("chapter_header"),
+        F.lit(True).alias("is_lexical_entry"), "text_lines", "poetry_lines", "footnote_lines")
+
+
 def segment_entries(pages: DataFrame, pack: LinePack, book: str = "book", page: str = "page_num",
-                    text: str = "text", pages_per_block: int = PAGES_PER_BLOCK,
-                    max_entry_lines: int = MAX_ENTRY_LINES) -> DataFrame:
-    """Parsed entries.
-
-    An entry of more than ``max_entry_lines`` lines stays whole but is kept as
-    several rows (``part`` 0, 1, …), one per block of pages, so that no single row
-    or task has to hold it.  An entry without any body line is left out; a part of
-    footnotes only stays when another part of its entry has a body.
+                    text: str = "text", pages_per_block: int = PAGES_PER_BLOCK) -> DataFrame:
+    """Parsed entries, a row each, for books whose entries fit a row; ``entry_heads`` and ``numbered_entry_lines`` hold
+    entries of any size.
+
+    An entry without any body line is left out.
     """
     lines = entry_lines(pages, pack, book, page, text, pages_per_block)
     item = F.struct("page_num", "pos", "line", "role", "refs")
@@ -132,33 +157,24 @@ def segment_entries(pages: DataFrame, pack: LinePack, book: str = "book", page:
     parts = lines.groupBy("book", "entry_num", "block").agg(
         F.array_sort(F.collect_list(item)).alias("items"),
         F.min(F.when(F.col("opener").isNotNull(), head)).alias("head"))
-    whole = Window.partitionBy("book", "entry_num")
-    has_body = F.exists("items", lambda x: x["role"] != "footnote")  # lines are never blank
-    parts = (parts.withColumn("total", F.sum(F.size("items")).over(whole))
-             .withColumn("filled", F.max(has_body).over(whole)).where("filled")
-             .withColumn("part_block", F.when(F.col("total") > max_entry_lines, F.col("block"))))
-    merged = parts.groupBy("book", "entry_num", "part_block").agg(
+    merged = parts.groupBy("book", "entry_num").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "items"))),
                               lambda b: b["items"])).alias("items"),
         F.min("head").alias("head"))
-    order = whole.orderBy("part_block")
 
     def pick(role: str) -> Column:
         return F.transform(F.filter("items", lambda x: x["role"] == role), lambda x: x["line"])
 
-    body = F.transform(F.filter("items", lambda x: x["role"] != "footnote"),
-                       lambda x: F.concat(x["line"], F.lit("\n")))
-    filled = F.first("head", ignorenulls=True).over(
-        order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (merged.withColumn("part", F.row_number().over(order) - 1).withColumn("head", filled)
+    body = F.filter("items", lambda x: x["role"] != "footnote")  # lines are never blank
+    return (merged.where(F.size(body) > 0)
             .select(
-                "book", "entry_num", "part",
+                "book", "entry_num",
                 F.coalesce(F.nullif(F.col("head.start_root"), F.lit("")),
                            F.col("head.start_display")).alias("root_letters"),
                 F.col("head.start_display").alias("root_display"),
                 F.col("head.chapter").alias("chapter_header"),
                 F.lit(True).alias("is_lexical_entry"),
-                F.array_join(body, "").alias("body_text"),
+                F.array_join(F.transform(body, lambda x: F.concat(x["line"], F.lit("\n"))), "").alias("body_text"),
                 pick("poetry").alias("poetry_lines"),
                 pick("footnote").alias("footnote_lines"),
                 F.flatten(F.transform("items", lambda x: F.coalesce(

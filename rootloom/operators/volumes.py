@@ -6,9 +6,11 @@ from collections.abc import Iterator
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-HASH_FANOUT = 4_096
+from rootloom.session import broadcast_if_small, held, ranked
+
+HASH_FANOUT = 1_024
 
 
 def page_counts(pages: DataFrame, source: str = "source_pdf") -> DataFrame:
@@ -16,33 +18,38 @@ def page_counts(pages: DataFrame, source: str = "source_pdf") -> DataFrame:
 
 
 def volume_content_hash(lines: DataFrame, source: str = "source_pdf", order: str = "line_no",
-                        raw: str = "raw", block_lines: int | None = None) -> DataFrame:
-    """SHA-256 of each volume's raw lines in order.
-
-    At every size and numbering this is the hash of the joined lines.  A running
-    hash can't be split: each volume passes through one task, sorted on disk and
-    read in Arrow batches, so memory doesn't follow the volume but time does.
-    Only a caller that gives ``block_lines`` gets a tree of hashes (blocks of so many line
-    numbers, groups of blocks, root), whose value then depends on the numbering.
+                        raw: str = "raw") -> DataFrame:
+    """SHA-256 of each volume's raw lines in order, as of one joined text.
+
+    A running hash can't be split: each volume passes through one task, sorted on disk and read in Arrow batches, so
+    memory doesn't follow the volume but time does. ``volume_tree_hash`` has no such task.
+    """
+    return _running_hash(lines.select(source, order, raw), source, order, raw)
+
+
+def volume_tree_hash(lines: DataFrame, source: str = "source_pdf", order: str = "line_no", raw: str = "raw",
+                     fanout: int = HASH_FANOUT) -> DataFrame:
+    """(source, sha256, lines): root of a hash tree over each volume's lines in order.
+
+    The leaves are SHA-256 of each line (a null one is empty); every ``fanout`` neighbours by rank, not by number, become the
+    SHA-256 of their joined digests, until one is left. Equal numbers are in order of their digest. The value depends on the
+    lines and their order alone, and no task holds a volume or a line twice.
     """
-    if block_lines is None:
-        return _running_hash(lines.select(source, order, raw), source, order, raw)
-
-    def joined(order_col: str, value: str):
-        items = F.array_sort(F.collect_list(F.struct(F.col(order_col), F.col(value))))
-        return F.array_join(F.transform(items, lambda x: x[value]), "")
-
-    level = (lines.withColumn("node", F.floor(F.col(order) / block_lines))
-             .groupBy(source, "node").agg(F.sha2(joined(order, raw), 256).alias("hash")))
-    for parent in (F.floor(F.col("child") / HASH_FANOUT), F.lit(0)):
-        items = F.array_sort(F.collect_list(F.struct("child", "hash")))
-        level = (level.withColumnRenamed("node", "child").withColumn("node", parent)
-                 .groupBy(source, "node").agg(items.alias("items"))
-                 .withColumn("hash", F.when(F.size("items") == 1, F.col("items")[0]["hash"])
-                             .otherwise(F.sha2(F.array_join(F.transform(
-                                 "items", lambda x: x["hash"]), ""), 256)))
-                 .drop("items"))
-    return level.select(source, F.col("hash").alias("sha256"))
+    leaves = lines.select(F.col(source).alias("source"), F.col(order).alias("order"),
+                          F.sha2(F.coalesce(F.col(raw).cast("string"), F.lit("")), 256).alias("digest"))
+    rows = held(ranked(held(leaves), ["source", "order", "digest"], "place"))
+    volumes = held(rows.groupBy(F.col("source").alias("of")).agg(F.min("place").alias("first"), F.count("*").alias("n")))
+    most = volumes.agg(F.max("n")).first()[0] or 1
+    nodes = rows.join(broadcast_if_small(volumes), F.col("source").eqNullSafe(F.col("of"))).select(
+        F.col("first").alias("tree"), (F.col("place") - F.col("first")).alias("place"), "digest")
+    while most > 1:
+        items = F.array_sort(F.collect_list(F.struct("place", "digest")))
+        nodes = nodes.groupBy("tree", F.floor(F.col("place") / fanout).alias("up")).agg(items.alias("items")).select(
+            "tree", F.col("up").alias("place"), F.when(F.size("items") == 1, F.col("items")[0]["digest"]).otherwise(F.sha2(F.array_join(
+                F.transform("items", lambda x: x["digest"]), ""), 256)).alias("digest"))
+        most = -(-most // fanout)
+    return volumes.join(nodes, volumes["first"] == nodes["tree"]).select(
+        F.col("of").alias(source), F.col("digest").alias("sha256"), F.col("n").alias("lines"))
 
 
 def _running_hash(lines: DataFrame, source: str, order: str, raw: str) -> DataFrame:
@@ -70,12 +77,32 @@ def _running_hash(lines: DataFrame, source: str, order: str, raw: str) -> DataFr
 
 
 def source_records(volumes: DataFrame, counts: DataFrame, hashes: DataFrame,
-                   corpus_hash: str = "", namespace: str = "lex") -> DataFrame:
-    """Volume dimension with counts and hashes; absent volumes give no record."""
-    return (volumes.where(~F.col("is_missing_volume"))
-            .join(counts, "source_pdf", "left").join(hashes, "source_pdf", "left")
+                   corpus_hash: str = "", namespace: str = "lex", files: DataFrame | None = None) -> DataFrame:
+    """Volume dimension with counts and hashes; absent volumes give no record.
+
+    ``volumes`` may bring ``initial_letters``; ``files`` (source_pdf, pdf_sha256) are hashes of the scanned files themselves.
+    """
+    letters = F.col("initial_letters") if "initial_letters" in volumes.columns else F.array().cast("array<string>")
+    rows = volumes.where(~F.col("is_missing_volume")).withColumn("initial_letters", letters)
+    if files is None:
+        rows = rows.withColumn("pdf_sha256", F.lit(""))
+    else:
+        rows = rows.join(files, "source_pdf", "left").withColumn("pdf_sha256", F.coalesce("pdf_sha256", F.lit("")))
+    return (rows.join(counts, "source_pdf", "left").join(hashes, "source_pdf", "left")
             .select(F.concat(F.lit(f"{namespace}:source:vol"), F.col("volume_number")).alias("source_id"),
                     "volume_number", "source_pdf",
                     F.coalesce("sha256", F.lit(corpus_hash)).alias("sha256"),
                     F.coalesce("page_count", F.lit(0)).alias("page_count"),
-                    F.lit(2).alias("ocr_pass_count"), "is_missing_volume"))
+                    F.lit(2).alias("ocr_pass_count"), "is_missing_volume", "initial_letters", "pdf_sha256"))
+
+
+def initial_letters(entries: DataFrame, source: str = "source_pdf", root: str = "root_letters") -> DataFrame:
+    """(source, initial_letters): the distinct first letters of a volume's roots, sorted."""
+    first = entries.select(source, F.substring(root, 1, 1).alias("letter")).where("letter != ''").distinct()
+    return first.groupBy(source).agg(F.array_sort(F.collect_list("letter")).alias("initial_letters"))
+
+
+def file_hashes(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
+    """(source_pdf, pdf_sha256) of stored files, each read whole in a task (below 2 GB)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("source_pdf"), F.sha2("content", 256).alias("pdf_sha256"))

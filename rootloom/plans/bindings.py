@@ -5,11 +5,15 @@ All of them are projections of whole tables; nothing is sampled or made up.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rootloom.operators.enrich import enrich
-from rootloom.plans.requests import EntryTable, with_axes
-from rootloom.session import spread
+from rootloom.operators.volumes import initial_letters
+from rootloom.plans.matching import EntryTable
+from rootloom.plans.requests import with_axes
+from rootloom.session import held
 from rootloom.rules import latin
 
 POETRY = latin.LINES.poetry
@@ -18,14 +22,28 @@ ORIGIN_LABELS = ("NOT_ROOT", "CHAPTER_HEADER", "CROSS_REFERENCE", "DUAL", "TRIPL
                  "NONE", "UNKNOWN", "SINGULAR", "SINGULAR")
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """The given small tables are one row group each, which Spark can't split: such a read is dealt over the cores. Files with more
+    splits than cores stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() == 1 < cores else df
+
+
 class Tables:
     """Lazy handles on the tables of one folder."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, staged: bool = False):
+        self.spark, self.folder, self.staged = spark, folder, staged
+        self.kept: dict[str, DataFrame] = {}
+
+    def keep(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A table that several parts of one query read: written once, released with this object."""
+        if name not in self.kept:
+            self.kept[name] = held(make())
+        return self.kept[name]
 
     def read(self, name: str) -> DataFrame:
-        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+        return dealt_out(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def parsed_entries(self) -> DataFrame:
         first = F.regexp_extract("text", r"\p{L}+", 0)
@@ -139,6 +157,8 @@ class Tables:
             .alias("required_flag"))
 
     def volumes(self) -> DataFrame:
+        letters = initial_letters(self.root_entries())
         return self.read("documents").select("source").distinct().select(
             F.regexp_extract("source", r"(\d+)", 1).cast("long").alias("volume_number"),
-            F.concat("source", F.lit(".pdf")).alias("source_pdf"), (F.col("source") == "src19").alias("is_missing_volume"))
+            F.concat("source", F.lit(".pdf")).alias("source_pdf"), (F.col("source") == "src19").alias("is_missing_volume")).join(
+            letters, "source_pdf", "left")

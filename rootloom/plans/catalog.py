@@ -20,8 +20,11 @@ from rootloom.operators import (
 )
 from rootloom.plans import export, requests as rq
 from rootloom.plans.bindings import Tables
+from rootloom.plans.layers import Layers
 from rootloom.rules import latin
+from rootloom.session import scratch
 from rootloom.sources import jsonl, pages as page_source
+from rootloom.sources.schemas import ROOT_ENTRY
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,9 +34,10 @@ PACK, DISC = latin.LINES, latin.DISCOURSE
 MISSING, NAMES = latin.MISSING_INITIALS, latin.CHAPTER_NAMES
 
 
-def query(name: str):
+def query(name: str, staged: bool = False):
+    """Registers a query; ``staged`` ones read derived tables several times."""
     def register(fn: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder, staged))
         return fn
     return register
 
@@ -56,6 +60,44 @@ def _(t: Tables):
         "line_no", "k", "is_malformed")
 
 
+def _stored_entries(t: Tables, entries: DataFrame) -> str:
+    """Entries as JSON lines in the shared folder, every seventh one cut off in the middle."""
+    folder = scratch(t.spark, "jsonl")
+    whole = F.to_json(F.struct(*(c for c in ("entry_id", "source_pdf", "root_letters", "semantic_origin_text", "line_ids"))))
+    line = F.when(F.col("line_no") % 7 == 0, F.substring(whole, 1, 9)).otherwise(whole)
+    entries.select(line.alias("value")).write.text(folder)
+    return folder
+
+
+def _loaded(rows: DataFrame) -> DataFrame:
+    return rows.select("entry_id", "source_pdf", "root_letters", "semantic_origin_text", big(F.size("line_ids")).alias("lines"), "is_malformed",
+                       "load_status")
+
+
+@query("A2_resolve_corpus")
+def _(t: Tables):
+    """The corrected corpus is absent, so the original one is loaded, malformed lines counted."""
+    rows, _ = jsonl.resolve_corpus(t.spark, scratch(t.spark, "none"), _stored_entries(t, t.root_entries()), ROOT_ENTRY)
+    return _loaded(rows)
+
+
+@query("A2_load_health")
+def _(t: Tables):
+    rows, _ = jsonl.resolve_corpus(t.spark, _stored_entries(t, t.corrected_entries()), scratch(t.spark, "none"), ROOT_ENTRY)
+    return governed.load_health(rows).select(big("malformed_line_count").alias("malformed_line_count"), "partial_load")
+
+
+@query("A4_write_jsonl")
+def _(t: Tables):
+    """Enriched entries written as JSON lines, a folder per type, and read back."""
+    folder = scratch(t.spark, "written")
+    jsonl.write_jsonl(t.enriched().select("entry_num", "entry_type", "root_letters", "semantic_axes", "quoted_authorities"), folder, "entry_type")
+    back = t.spark.read.schema("entry_num long, root_letters string, semantic_axes array<struct<text:string,attribution:string>>, "
+                               "quoted_authorities array<string>, entry_type string").json(folder)
+    return back.select("entry_num", "entry_type", "root_letters", F.array_join(F.transform("semantic_axes", lambda a: a["text"]), "|").alias("axes"),
+                       joined("quoted_authorities").alias("authorities"))
+
+
 @query("A3_star_entries")
 def _(t: Tables):
     e = star.star_entries(t.enriched())
@@ -102,12 +144,24 @@ def _(t: Tables):
 @query("A7_segment_entries")
 def _(t: Tables):
     e = segment.segment_entries(t.book_pages(), PACK, pages_per_block=2)
-    return e.select("book", big("entry_num").alias("entry_num"), big("part").alias("part"), "root_letters",
+    return e.select("book", big("entry_num").alias("entry_num"), "root_letters",
                     "root_display", "chapter_header", "body_text", joined("poetry_lines", "\n").alias("poetry"),
                     joined("footnote_lines", "\n").alias("footnotes"), joined("page_refs").alias("page_refs"),
                     joined("raw_page_nums").alias("raw_page_nums"))
 
 
+@query("A7_entry_heads")
+def _(t: Tables):
+    e = segment.entry_heads(segment.entry_lines(t.book_pages(), PACK, pages_per_block=2))
+    return e.drop("is_lexical_entry").withColumn("entry_num", big("entry_num"))
+
+
+@query("A7_numbered_lines")
+def _(t: Tables):
+    e = segment.numbered_entry_lines(segment.entry_lines(t.book_pages(), PACK, pages_per_block=2))
+    return e.select("book", big("entry_num").alias("entry_num"), big("line_num").alias("line_num"), "page_num", big("pos").alias("pos"), "role", "filled")
+
+
 @query("A7_entry_lines")
 def _(t: Tables):
     e = segment.entry_lines(t.book_pages(), PACK, pages_per_block=3)
@@ -147,17 +201,22 @@ def _(t: Tables):
     return volumes.volume_content_hash(lines, "source")
 
 
+@query("A12_volume_tree_hash")
+def _(t: Tables):
+    lines = t.read("documents").select("source", F.col("doc_id").alias("line_no"), F.col("text").alias("raw"))
+    return volumes.volume_tree_hash(lines, "source")
+
+
 @query("A13_source_records")
 def _(t: Tables):
     docs = t.read("documents").withColumn("source_pdf", F.concat("source", F.lit(".pdf")))
-    hashes = volumes.volume_content_hash(docs.select("source_pdf", F.col("doc_id").alias("line_no"),
-                                                     F.col("text").alias("raw")))
+    hashes = volumes.volume_tree_hash(docs.select("source_pdf", F.col("doc_id").alias("line_no"), F.col("text").alias("raw")))
     out = volumes.source_records(t.volumes(), volumes.page_counts(docs), hashes)
-    return out.withColumn("ocr_pass_count", big("ocr_pass_count"))
+    return out.withColumn("ocr_pass_count", big("ocr_pass_count")).withColumn("initial_letters", joined("initial_letters", ""))
 
 
 # -------------------------------------------------------------------- B: text
-for _name in ("lookup", "classify", "graph_origin", "entity", "initial"):
+for _name in ("lookup", "classify", "classify_v1", "graph_origin", "entity", "initial"):
     def _norm(t: Tables, _name=_name):
         return t.read("documents").select("doc_id", F.md5(normalize(F.col("text"), latin.PROFILES[_name])).alias("norm"))
     query(f"B_normalize_{_name}")(_norm)
@@ -316,6 +375,13 @@ def _(t: Tables):
         joined("quoted_authorities").alias("authorities"), "ocr_confidence", "review_state", "claim_status")
 
 
+@query("D4_enrich_v1")
+def _(t: Tables):
+    return enrich.enrich(t.parsed_entries(), latin.ORIGINS_V1).select(
+        "entry_num", "entry_type", big("axes_count").alias("axes_count"),
+        F.array_join(F.transform("semantic_axes", lambda a: a["text"]), "|").alias("axes"), "ocr_confidence")
+
+
 @query("D8_enrichment_report")
 def _(t: Tables):
     return enrich.enrichment_report(t.enriched())
@@ -376,8 +442,10 @@ def _(t: Tables):
 
 # --------------------------------------------------------------- G: quarantine
 def _imports(t: Tables) -> DataFrame:
-    """Persisted: governance queries read the imports once per derived table."""
-    return quarantine.import_entries(t.corrected_entries()).persist()
+    """Written once where a query reads them for several derived tables (``staged``)."""
+    if t.staged:
+        return t.keep("imports", lambda: quarantine.import_entries(t.corrected_entries()))
+    return quarantine.import_entries(t.corrected_entries())
 
 
 def _residual_view(df: DataFrame) -> DataFrame:
@@ -442,6 +510,14 @@ def _(t: Tables):
     return _residual_view(identity.missing_passage_residuals(_imports(t)))
 
 
+@query("H2_blank_headings")
+def _(t: Tables):
+    """Every heading that doesn't begin with a capital counts as missing."""
+    blank = F.when(F.col("root_heading_text").rlike(r"^\p{Lu}"), F.col("root_heading_text")).otherwise("")
+    imports = quarantine.import_entries(t.corrected_entries().withColumn("root_heading_text", blank))
+    return _residual_view(identity.missing_passage_residuals(imports))
+
+
 @query("H3_ocr_gates")
 def _(t: Tables):
     g = identity.ocr_gates(F.col("root_letters"), latin.GATES)
@@ -545,10 +621,16 @@ def _all_traces(t: Tables) -> DataFrame:
 
 
 def _evidence_ids(t: Tables) -> DataFrame:
-    return governed.governed_evidence_ids(_governed(t), _claims(t), _origin_rows(t))
+    return governed.root_evidence_ids(_governed(t), _claims(t), _origin_rows(t))
+
+
+def _verified(t: Tables) -> DataFrame:
+    c = _candidates(t)
+    return t.keep("verified", lambda: governed.governed_lookup(
+        t.requests(), _imports(t), MISSING, INITIAL, certificates=_certs_for(t, c, "candidate_id")))
 
 
-@query("J1_entity_index")
+@query("J1_entity_index", staged=True)
 def _(t: Tables):
     index = governed.entity_index(
         claim=(_claims(t), "claim_id"), origin=(_origin_rows(t), "origin_id"), candidate=(_candidates(t), "candidate_id"),
@@ -571,14 +653,31 @@ def _(t: Tables):
     return governed.with_health(_governed(t).select("request_id", "kind"), governed.load_health(parsed))
 
 
-@query("J4_governed_evidence_ids")
+@query("J2_verified_lookup", staged=True)
+def _(t: Tables):
+    return _verified(t).select("request_id", "root_letters", "kind", "found", "review_state", "carrier_id")
+
+
+@query("J4_governed_evidence_ids", staged=True)
 def _(t: Tables):
-    return _evidence_ids(t).select("request_id", big("step").alias("step"), "position", "evidence_id")
+    ids = governed.governed_evidence_ids(_governed(t), _claims(t), _origin_rows(t))
+    return ids.select("request_id", big("step").alias("step"), "position", "evidence_id")
 
 
-@query("J5_evidence_metadata")
+@query("J4_root_evidence_ids", staged=True)
 def _(t: Tables):
-    return governed.evidence_metadata(_governed(t), _evidence_ids(t)).select(
+    return _evidence_ids(t).withColumn("step", big("step"))
+
+
+@query("J4_verified_evidence_ids", staged=True)
+def _(t: Tables):
+    return governed.root_evidence_ids(_verified(t), _claims(t), _origin_rows(t)).withColumn("step", big("step"))
+
+
+@query("J5_evidence_metadata", staged=True)
+def _(t: Tables):
+    rows = governed.evidence_metadata(_governed(t), _evidence_ids(t))
+    return governed.for_each_request(rows, _governed(t), "evidence_id").select(
         "request_id", "evidence_id", "root_letters", "kind", "evidence_status", "review_state")
 
 
@@ -587,12 +686,17 @@ def _(t: Tables):
     return governed.licensed_augmentation(t.requests(), _imports(t), MISSING, INITIAL)
 
 
-@query("J6_augmentation_ids")
+@query("J6_augmentation_ids", staged=True)
 def _(t: Tables):
     return governed.augmentation_ids(t.requests(), _claims(t), _all_residuals(t), _all_traces(t))
 
 
-@query("J7_lookup_explain")
+@query("J6_root_augmentation_ids", staged=True)
+def _(t: Tables):
+    return governed.root_augmentation_ids(t.requests(), _claims(t), _all_residuals(t), _all_traces(t))
+
+
+@query("J7_lookup_explain", staged=True)
 def _(t: Tables):
     return governed.lookup_explain(_governed(t), _evidence_ids(t), _all_residuals(t), _origin_rows(t), _candidates(t))
 
@@ -615,7 +719,7 @@ def _(t: Tables):
     return audit.audit_source_to_identity(identity.passages(_imports(t)))
 
 
-@query("K2_audit_identity_licence")
+@query("K2_audit_identity_licence", staged=True)
 def _(t: Tables):
     c = _candidates(t)
     conflicts = claims.detect_conflicts(_imports(t)).select("root_letters")
@@ -635,7 +739,7 @@ def _(t: Tables):
     return audit.audit_claim_to_origins(_claims(t))
 
 
-@query("K5_audit_origin_review")
+@query("K5_audit_origin_review", staged=True)
 def _(t: Tables):
     o = _origin_rows(t)
     return audit.audit_origin_review(o, _certs_for(t, o, "origin_id"),
@@ -653,7 +757,7 @@ def _(t: Tables):
         .otherwise("SOURCE_LOCATED_EVIDENCE").alias("evidence_status")))
 
 
-@query("K7_audit_id_uniqueness")
+@query("K7_audit_id_uniqueness", staged=True)
 def _(t: Tables):
     ids = audit.all_ids(Claim=(_claims(t), "claim_id"), Origin=(_origin_rows(t), "origin_id"),
                         Import=(_imports(t), "candidate_id"), Candidate=(_candidates(t), "candidate_id"))
@@ -669,7 +773,7 @@ def _(t: Tables):
         "review_state": audit.V.REVIEW_STATES})
 
 
-@query("K9_audit_orphans")
+@query("K9_audit_orphans", staged=True)
 def _(t: Tables):
     kept = _claims(t).where(F.col("raw_claim_text").contains(" "))
     return audit.audit_orphans(_origin_rows(t), kept)
@@ -681,7 +785,7 @@ def _(t: Tables):
     return audit.audit_chapter_initial(stored, NAMES, INITIAL)
 
 
-@query("K11_audit_counters")
+@query("K11_audit_counters", staged=True)
 def _(t: Tables):
     imports, cl, orig, cand = _imports(t), _claims(t), _origin_rows(t), _candidates(t)
     return audit.audit_counters(
@@ -699,14 +803,14 @@ def _(t: Tables):
             Claim=(cl, "claim_id"), Origin=(orig, "origin_id"), Candidate=(cand, "candidate_id"))))
 
 
-@query("K12_review_apply")
+@query("K12_review_apply", staged=True)
 def _(t: Tables):
     c = _candidates(t)
     return audit.review_apply(c, "candidate_id", _certs_for(t, c, "candidate_id")).select(
         "candidate_id", "review_state", "effective_state", "certificate_id", "reviewer_type")
 
 
-@query("K12_residuals_apply")
+@query("K12_residuals_apply", staged=True)
 def _(t: Tables):
     imports = _imports(t)
     res = audit.residuals_apply(quarantine.review_residuals(imports), _certs_for(t, imports, "candidate_id"))
@@ -889,7 +993,7 @@ def _(t: Tables):
 
 @query("M11_entry_residuals")
 def _(t: Tables):
-    return _bundles(t).select("entry_id", joined("residuals").alias("residuals"), "ontology_buildable")
+    return _layers(t).bundles.select("entry_id", joined("residuals").alias("residuals"), "ontology_buildable")
 
 
 @query("M12_root_knowledge")
@@ -905,7 +1009,7 @@ def _(t: Tables):
 @query("M13_layer_summary")
 def _(t: Tables):
     rows = _layers(t)
-    out = evidence.layer_summary(rows["bundles"], rows["claims"], rows["origins"], rows["branches"], rows["concepts"])
+    out = evidence.layer_summary(rows.bundles, rows.claims, rows.origins, rows.branches, rows.concepts)
     return out.withColumn("residual_count", big("residual_count"))
 
 
@@ -919,13 +1023,8 @@ def _branches(t: Tables) -> DataFrame:
     return origins.branches(_claim_rows(t), _origins(t), DISC)
 
 
-def _layers(t: Tables) -> dict[str, DataFrame]:
-    # Every later layer reads these again, so each is computed once.
-    bundles, found, rows = _bundles(t).persist(), _origins(t).persist(), _claim_rows(t).persist()
-    branch = origins.branches(rows, found, DISC).persist()
-    gate = concepts.ontology_gate(bundles, found)
-    return {"bundles": bundles, "claims": rows, "origins": found, "branches": branch, "gate": gate,
-            "concepts": concepts.concepts(found, branch, bundles, gate, DISC)}
+def _layers(t: Tables) -> Layers:
+    return Layers(t.corrected_entries(), t.lines(), DISC, LOOKUP, INITIAL)
 
 
 @query("N1_semantic_nucleus")
@@ -948,8 +1047,8 @@ def _(t: Tables):
 @query("N6_branches")
 def _(t: Tables):
     return _branches(t).select("branch_id", "entry_id", "origin_id", big("origin_index").alias("origin_index"),
-                               big("branch_index").alias("branch_index"), "gloss", "relation", "explicitness",
-                               "distance", "domain")
+                               big("branch_index").alias("branch_index"), "source_form", "normalized_form",
+                               "gloss", "relation", "explicitness", "distance", "domain")
 
 
 @query("N7_exceptions")
@@ -979,11 +1078,12 @@ def _(t: Tables):
 
 @query("N10_cycle_check")
 def _(t: Tables):
-    refs = origins.resolve_cross_refs(origins.cross_refs(_claim_rows(t), DISC), t.root_entries(), LOOKUP)
-    roots = t.root_entries().select("entry_id", normalize_root(F.col("root_letters"), LOOKUP).alias("src"))
-    edges = refs.where("resolved").join(roots, "entry_id").where(F.col("src") != "").select(
-        "src", F.col("target_root").alias("dst"))
-    return origins.cycle_check(edges)
+    return origins.cycle_check(_layers(t).references)
+
+
+@query("N10_entry_conflicts")
+def _(t: Tables):
+    return _layers(t).conflicts
 
 
 @query("N11_nucleus_residuals")
@@ -994,24 +1094,24 @@ def _(t: Tables):
 # ----------------------------------------------------------------- O: concepts
 @query("O1_ontology_gate")
 def _(t: Tables):
-    return _layers(t)["gate"]
+    return _layers(t).gate
 
 
 @query("O2_concepts")
 def _(t: Tables):
-    return _layers(t)["concepts"].select(
+    return _layers(t).concepts.select(
         "concept_id", "entry_id", big("origin_index").alias("origin_index"), "notice", "preferred_label",
         joined("alternative_labels").alias("alternative_labels"), "definition", "upper_kind")
 
 
 @query("O3_genus")
 def _(t: Tables):
-    return _layers(t)["concepts"].select("concept_id", "genus.concept_ref", "genus.confidence", "genus.explicitness")
+    return _layers(t).concepts.select("concept_id", "genus.concept_ref", "genus.confidence", "genus.explicitness")
 
 
 @query("O4_concept_features")
 def _(t: Tables):
-    return _layers(t)["concepts"].select(
+    return _layers(t).concepts.select(
         "concept_id", joined("differentia").alias("differentia"), big(F.size("properties")).alias("properties"),
         F.array_join(F.transform("functions", lambda f: F.concat_ws(":", f["function_type"], f["target_event_ref"])), "|")
         .alias("functions"), joined("relations").alias("relations"), "mereology", "causal_mode",
@@ -1020,7 +1120,7 @@ def _(t: Tables):
 
 @query("O6_event_profile")
 def _(t: Tables):
-    return _layers(t)["concepts"].select(
+    return _layers(t).concepts.select(
         "concept_id", "event_profile.event_kind", "event_profile.dynamicity",
         joined(F.transform("event_profile.roles", lambda r: r["role"])).alias("roles"))
 
@@ -1028,8 +1128,8 @@ def _(t: Tables):
 @query("O14_bundle_export")
 def _(t: Tables):
     rows = _layers(t)
-    docs = export.bundle_export(_bundle_entries(t), rows["bundles"], rows["claims"], rows["origins"],
-                                rows["branches"], rows["concepts"], rows["gate"])
+    docs = export.bundle_export(_bundle_entries(t), rows.bundles, rows.claims, rows.origins,
+                                rows.branches, rows.concepts, rows.gate)
     return docs.select("entry_id", F.get_json_object("bundle", "$.entry.root_letters").alias("root_letters"),
                        F.get_json_object("bundle", "$.entry.bab_letter").alias("bab_letter"),
                        F.get_json_object("bundle", "$.entry.bab_letter_corrected_from").alias("corrected_from"),
@@ -1043,8 +1143,8 @@ def _(t: Tables):
 # ----------------------------------------------------------------- P: entities
 def _words(t: Tables) -> DataFrame:
     rows = _layers(t)
-    return entities.entity_words(rows["origins"], rows["branches"], claimgraph.term_nodes(rows["claims"], DISC),
-                                 rows["concepts"], DISC.entity_profile)
+    return entities.entity_words(rows.origins, rows.branches, claimgraph.term_nodes(rows.claims, DISC),
+                                 rows.concepts, DISC.entity_profile)
 
 
 @query("P1_entity_words")
@@ -1140,16 +1240,24 @@ def _(t: Tables):
     return rq.semantic_reverse_search(asks, t.entries(), LOOKUP).select("request_id", "found", "entry_id", "match_type")
 
 
-@query("Q20_run_queries")
-def _(t: Tables):
+def _mixed(t: Tables) -> DataFrame:
     kinds = F.array(*(F.lit(k) for k in [*sorted(rq.HANDLERS), *sorted(rq.ALIASES), "SOMETHING_ELSE"]))
     asks = t.requests().withColumn("query_type", F.element_at(kinds, (F.col("request_id") % F.size(kinds) + 1)
                                                               .cast("int")))
-    return rq.run_queries(asks, t.entries(), LOOKUP, t.trace()).groupBy(
-        "request_id", "query_type", "found", "query_status", "canonical_root").agg(
+    return rq.run_queries(asks, t.entries(), LOOKUP, t.trace())
+
+
+@query("Q20_run_queries")
+def _(t: Tables):
+    return _mixed(t).groupBy("request_id", "query_type", "found", "query_status", "canonical_root").agg(
         F.count("entry_id").alias("rows"), F.count("result").alias("payloads"))
 
 
+@query("Q20_answers")
+def _(t: Tables):
+    return _mixed(t).drop("result")
+
+
 @query("Q21_stats")
 def _(t: Tables):
     return star.stats(t.enriched())

@@ -6,6 +6,8 @@ RE2 read alike (no look-around, no ``\\b``), so results can be checked in SQL.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from rootloom.rules.model import (ClaimRule, DiscoursePack, LinePack, Marker, OriginPack,
                                   OriginRule, Profile)
 
@@ -14,6 +16,7 @@ ACCENTED, PLAIN = "àâäáéèêëîïíôöóùûüúçñ", "aaaaeeeeiiiooouuu
 PROFILES = {
     "lookup": Profile("*", ACCENTED, PLAIN, lower=True),
     "classify": Profile("*#", ACCENTED, PLAIN, lower=True, collapse=False),
+    "classify_v1": Profile("#", ACCENTED, PLAIN, lower=True),
     "graph_term": Profile("*", ACCENTED, PLAIN, lower=True),
     "graph_origin": Profile("*", lower=True),
     "entity": Profile("*.,;:!?|", lower=True, strip_prefix="^the"),
@@ -59,6 +62,16 @@ ORIGINS = OriginPack(
     ocr_suspect=r"[^\p{L}\p{N}\s_.,:;?!()\[\]\-/*']",
 )
 
+_BY_NAME = {r.name: r for r in ORIGINS.rules}
+#: The first rule set: no noise stripping, a wider window for doubt, bare words before what most of a root means, no last resort.
+ORIGINS_V1 = replace(
+    ORIGINS, name="latin_v1", profile=PROFILES["classify_v1"], noise=None, context_prefixes=(), raw_prefix=r"^(?:A|An|Un|Ein)\s+",
+    rules=(
+        _BY_NAME["no_root"], replace(_BY_NAME["uncertain"], window=120),
+        *(_BY_NAME[n] for n in ("two", "three", "four", "single", "denotes")),
+        replace(_BY_NAME["bare_word"], groups=(1,), first_only=True, extract=_BY_NAME["word"].pattern),
+        _BY_NAME["most"], _BY_NAME["denotes_near"]))
+
 LETTER_NAMES = {"the": "t", "and": "a", "of": "o", "de": "d", "la": "l", "le": "l", "que": "q",
                 "der": "r", "die": "i", "und": "u", "el": "e", "is": "s", "to": "t", "en": "n"}
 NAMES = "|".join(sorted(LETTER_NAMES, key=len, reverse=True))

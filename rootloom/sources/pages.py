@@ -16,7 +16,13 @@ CONTAINERS = (("div", "id", "nass"), ("div", "class", "nass"), ("div", "id", "bo
 BLOCKS = ("div", "section", "article")
 FOOTNOTE_CLASS = re.compile(r"foot|hawashi|حاشية", re.I)
 CHROME_CLASS = re.compile(r"nav|pager|btn|toc|header|footer", re.I)
-CHROME_TAGS = ("nav", "button", "script", "style")
+CHROME_TAGS = ("nav", "button", "script", "style", "template")
+#: Elements whose content is no text, and start tags that end an open element of the kinds given (up to the enclosing one).
+SILENT = ("script", "style", "template")
+ENDED_BY = {"li": ("li", ("ul", "ol")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "option": ("option", ("select",)),
+            "tr": (("tr", "td", "th"), ("table",)), "td": (("td", "th"), ("tr",)), "th": (("td", "th"), ("tr",))}
+ENDS_PARAGRAPH = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
+                           "h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 VOLUME_PAGE = r"(ج\s*\d+)\s*[-–]\s*(ص\s*\d+)"
 
@@ -63,7 +69,21 @@ class TreeBuilder(HTMLParser):
         self.root = Node("", {})
         self.open = [self.root]
 
+    def end_open(self, kinds, within) -> None:
+        """End the innermost open element of some kinds, unless an enclosing element comes first."""
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag in kinds:
+                del self.open[depth:]
+                return
+            if self.open[depth].tag in within:
+                return
+
     def handle_starttag(self, tag, attrs):
+        if tag in ENDED_BY:
+            kinds, within = ENDED_BY[tag]
+            self.end_open((kinds,) if isinstance(kinds, str) else kinds, within)
+        if tag in ENDS_PARAGRAPH:
+            self.end_open(("p",), ("button", "td", "th", "li", "div", "article", "section", "table"))
         node = Node(tag, {k: v or "" for k, v in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID:
@@ -79,6 +99,10 @@ class TreeBuilder(HTMLParser):
         self.open[-1].children.append(data)
 
 
+def _is_silent(node: Node) -> bool:
+    return node.tag in SILENT
+
+
 def _is_footnote(node: Node) -> bool:
     return any(FOOTNOTE_CLASS.search(c) for c in node.classes())
 
@@ -97,7 +121,7 @@ def _container(root: Node, script: re.Pattern) -> Node | None:
     best, most = None, 0
     for node in nodes:
         if node.tag in BLOCKS:
-            n = sum(len(script.findall(s)) for s in node.strings())
+            n = sum(len(script.findall(s)) for s in node.strings(_is_silent))
             if n > most:
                 best, most = node, n
     return best
@@ -110,7 +134,7 @@ def page_content(html: str, script: re.Pattern, merge_lines: bool) -> tuple[str,
     box = _container(builder.root, script)
     if box is None:
         return "", []
-    notes = [" ".join(node.strings()).strip() for node in box.outermost(_is_footnote)]
+    notes = [" ".join(node.strings(_is_silent)).strip() for node in box.outermost(_is_footnote)]
     text = "\n".join(box.strings(_is_chrome))
     if merge_lines:
         return re.sub(r"\s{2,}", " ", text).strip(), notes

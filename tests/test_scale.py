@@ -1,14 +1,14 @@
 """Sources, hashes, graphs and request plans against brute force on small data."""
 
-import hashlib
 import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from rootloom.operators import origins, star, volumes
-from rootloom.plans import requests as rq
+from rootloom import session
+from rootloom.operators import origins, star
+from rootloom.plans import matching, requests as rq
 from rootloom.plans.bindings import Tables
 from rootloom.rules import latin
 from rootloom.sources import jsonl, pages
@@ -48,14 +48,18 @@ def test_resolve_corpus_and_writers(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "tables" / "t")).count() == 1
 
 
-def test_volume_hash_flat_and_tree(spark):
-    lines = [("v", i, f"line {i}\n") for i in range(10)] + [("w", 0, "one\n")]
-    df = spark.createDataFrame(lines, "source_pdf string, line_no long, raw string")
-    flat = {r.source_pdf: r.sha256 for r in volumes.volume_content_hash(df).collect()}
-    assert flat["v"] == hashlib.sha256("".join(x[2] for x in lines[:10]).encode()).hexdigest()
-    tree = {r.source_pdf: r.sha256 for r in volumes.volume_content_hash(df, block_lines=4).collect()}
-    leaves = [hashlib.sha256("".join(x[2] for x in lines[k:k + 4][:10 - k]).encode()).hexdigest() for k in (0, 4, 8)]
-    assert tree["v"] == hashlib.sha256("".join(leaves).encode()).hexdigest() and tree["w"] == flat["w"]
+def test_implied_end_tags_and_silent_elements():
+    import re
+    letters = re.compile("[^\\W\\d_]")
+    def text(html):
+        return pages.page_content(html, letters, False)
+    assert text('<article><p class="btn">gone<p>kept</article>') == ("kept", [])
+    assert text('<article><ul><li class="nav">gone<li>kept</ul>tail</article>') == ("kept\ntail", [])
+    assert text('<article><table><tr><td class="toc">gone<td>kept<tr><td>more</table></article>') == ("kept\nmore", [])
+    assert text('<article><ul><li>a<ul><li class="pager">gone</ul>b<li>c</ul></article>') == ("a\nb\nc", [])
+    assert text('<article>a<div class="foot"><script>x</script>note <b>one</b></div><p>b<div>c</div></article>') == ("a\nb\nc", ["note  one"])
+    # a long script doesn't make a block the main one
+    assert text("<div><script>" + "abc " * 50 + "</script>ab</div><section>four letters</section>") == ("four letters", [])
 
 
 def test_page_container_rules(spark):
@@ -102,7 +106,8 @@ def test_large_request_path_equals_small(spark, monkeypatch):
     cols = ("request_id", "entry_id", "root_letters")
     small = {tuple(r) for r in rq.find_entries(t.requests(), t.entries().rows, LOOKUP).select(*cols).collect()}
     concept = {tuple(r) for r in rq.concept_to_root_search(t.requests(), t.entries(), LOOKUP).select("request_id", "entry_id").collect()}
-    monkeypatch.setattr(rq, "is_small", lambda df: False)
+    for module in (matching, session):
+        monkeypatch.setattr(module, "is_small", lambda df, *limits: False)
     assert {tuple(r) for r in rq.find_entries(t.requests(), t.entries().rows, LOOKUP).select(*cols).collect()} == small
     assert {tuple(r) for r in rq.concept_to_root_search(t.requests(), t.entries(), LOOKUP).select(
         "request_id", "entry_id").collect()} == concept

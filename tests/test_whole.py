@@ -14,16 +14,44 @@ FOLDER = "/root/testdata/sf0.001"
 LOOKUP = latin.PROFILES["lookup"]
 
 
-def test_footnote_only_parts_stay(spark):
-    pages = [(1, 1, "[خبز]\nالخاء والباء والزاء أصل واحد"), (1, 2, "(١) حاشية أولى"), (1, 3, "سطر آخر (ص٤٥)"), (1, 4, "(٢) حاشية ثانية")]
+def test_entries_of_any_size(spark):
+    """Heads and numbered lines say what the entry in one row says, whatever the blocks; entries of footnotes only are left out."""
+    pages = [(1, 1, "[خبز]\nالخاء والباء والزاء أصل واحد"), (1, 2, "(١) حاشية أولى"), (1, 3, "سطر آخر (ص٤٥)"), (1, 4, "(٢) حاشية ثانية"),
+             (1, 5, "[حبر]\nالحاء والباء والراء أصل واحد\nسطر"), (2, 1, "(١) حاشية بلا مادة")]
     df = spark.createDataFrame(pages, "book long, page_num long, text string")
-    whole = segment.segment_entries(df, arabic.LINES, pages_per_block=1).collect()
-    parts = segment.segment_entries(df, arabic.LINES, pages_per_block=1, max_entry_lines=1).orderBy("part").collect()
-    assert len(whole) == 1 and [p.part for p in parts] == [0, 1, 2, 3]
-    for name in ("poetry_lines", "footnote_lines", "page_refs", "raw_page_nums"):
-        assert [x for p in parts for x in p[name]] == whole[0][name]
-    assert "".join(p.body_text for p in parts) == whole[0].body_text and len(whole[0].footnote_lines) == 2
-    assert {p.root_display for p in parts} == {whole[0].root_display}
+    seen = []
+    for block in (1, 2, 1000):
+        lines = segment.entry_lines(df, arabic.LINES, pages_per_block=block)
+        whole = {(r.book, r.entry_num): r for r in segment.segment_entries(df, arabic.LINES, pages_per_block=block).collect()}
+        heads = {(r.book, r.entry_num): r for r in segment.entry_heads(lines).collect()}
+        rows = sorted(segment.numbered_entry_lines(lines).collect(), key=lambda r: (r.book, r.entry_num, r.line_num))
+        assert whole.keys() == heads.keys() and len(whole) == 2
+        for key, e in whole.items():
+            mine = [r for r in rows if (r.book, r.entry_num) == key]
+            assert [r.line_num for r in mine] == list(range(len(mine))) and all(r.filled for r in mine)
+            assert "".join(r.line + "\n" for r in mine if r.role != "footnote") == e.body_text
+            assert [r.line for r in mine if r.role == "footnote"] == e.footnote_lines and heads[key].footnote_lines == len(e.footnote_lines)
+            assert (heads[key].root_letters, heads[key].root_display) == (e.root_letters, e.root_display)
+        seen.append([(r.entry_num, r.line_num, r.line) for r in rows])
+    assert seen[0] == seen[1] == seen[2] and len(whole[(1, 1)].footnote_lines) == 2
+
+
+@pytest.mark.parametrize("fanout", (2, 3, 1024))
+def test_volume_tree_hash_by_rank(spark, fanout):
+    """The tree depends on the order of the lines alone, not on their numbers."""
+    def tree(texts):
+        nodes = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+        while len(nodes) > 1:
+            runs = [nodes[i:i + fanout] for i in range(0, len(nodes), fanout)]
+            nodes = [r[0] if len(r) == 1 else hashlib.sha256("".join(r).encode()).hexdigest() for r in runs]
+        return nodes[0]
+    texts = {"v": [f"line {i}" for i in range(23)], "w": ["one"], None: ["", "x", "y"]}
+    for step in (1, 70_000):
+        lines = [(s, 5 + i * step, t or None) for s, ts in texts.items() for i, t in enumerate(ts)]
+        df = spark.createDataFrame(lines, "source_pdf string, line_no long, raw string").repartition(5)
+        got = {r.source_pdf: (r.sha256, r.lines) for r in volumes.volume_tree_hash(df, fanout=fanout).collect()}
+        assert got == {s: (tree(ts), len(ts)) for s, ts in texts.items()}
+    assert volumes.volume_tree_hash(df.limit(0)).collect() == []
 
 
 @pytest.mark.parametrize("first", (0, 65_530, 1_000_000))
