@@ -9,7 +9,7 @@ Counts r up to five are discounted to Good-Turing's (r + 1) n[r+1] / n[r], scale
 counts are there for that, fewer are; larger counts lose what the last of those loses (a little, instead of
 Katz's nothing, so that no context is left without mass for new words).
 
-How it runs. Words are read from texts once and become numbers local to a block of some two million tokens. Words are numbered over the
+How it runs. Words are read from texts once and become numbers local to a block of some four million tokens. Words are numbered over the
 corpus by falling count, so that a word's count follows from its number through a table with one row per distinct count (at most
 sqrt(2 N) of them), small enough for every task. Each block asks for its distinct bigrams with their training counts, packed by bucket; a bucket
 sums them, keeps them as a part of the bigram table and answers each block in the order asked. Contexts with many tokens are split over
@@ -34,7 +34,7 @@ from rootloom.llm.linededup import mix
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Tokens of a block, tokens whose bigrams share a bucket, tokens of a context from which on it is split.
-BLOCK, BUCKET, SPLIT = 2 ** 21, 2 ** 22, 2 ** 21
+BLOCK, BUCKET, SPLIT = 2 ** 22, 2 ** 22, 2 ** 21
 LOW = 5
 #: What a block's rows are.
 MAPPED, DOCS, ASKED, PAIRS = 0, 1, 2, 3
@@ -147,6 +147,24 @@ def lists(flat, sizes, kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
+def one_list(values) -> pa.ListArray:
+    """An array of one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
+
+
+def packed_words(ids) -> bytes:
+    """32-bit numbers of words as compressed planes of their bytes."""
+    import zstandard
+    planes = np.ascontiguousarray(ids.astype(np.int32)).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def unpacked_words(data: bytes):
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(np.int32)
+
+
 def table_rows(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
     """A batch with the given columns; scalars are repeated, the rest is null."""
     out = []
@@ -162,9 +180,10 @@ def table_rows(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
 
 
 # ------------------------------------------------------- words to local numbers
-LOCAL = pa.schema([("g", pa.int64()), ("kind", pa.int32()), ("at", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()),
-                   ("ids", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
-LOCAL_SQL = "g long, kind int, at long, doc_id long, held boolean, ids array<int>, hashes array<long>, counts array<long>"
+LOCAL = pa.schema([("g", pa.int64()), ("kind", pa.int32()), ("at", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
+                   ("sizes", pa.list_(pa.int64())), ("ids", pa.binary()), ("hashes", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+LOCAL_SQL = ("g long, kind int, at long, doc_ids array<long>, held array<boolean>, sizes array<long>, ids binary, hashes array<long>, "
+             "counts array<long>")
 
 
 def localised(batches: Iterator[pa.RecordBatch], block: int = BLOCK) -> Iterator[pa.RecordBatch]:
@@ -176,8 +195,7 @@ def localised(batches: Iterator[pa.RecordBatch], block: int = BLOCK) -> Iterator
         hashes[number] = known
         for k in range(0, len(hashes), 1 << 16):
             part = slice(k, k + (1 << 16))
-            yield table_rows(LOCAL, 1, g=task << 24 | blocks, kind=MAPPED, at=k, hashes=lists(hashes[part], [len(hashes[part])], pa.int64()),
-                             counts=lists(count[part], [len(hashes[part])], pa.int64()))
+            yield table_rows(LOCAL, 1, g=task << 24 | blocks, kind=MAPPED, at=k, hashes=one_list(hashes[part]), counts=one_list(count[part]))
 
     for batch in (part for whole in batches for part in slices(whole, 3, 1 << 18)):
         task, held = batch.column(0)[0].as_py(), batch.column(2).to_numpy(zero_copy_only=False)
@@ -193,7 +211,8 @@ def localised(batches: Iterator[pa.RecordBatch], block: int = BLOCK) -> Iterator
         more = np.bincount(ids[np.repeat(~held, sizes)], minlength=len(known))
         more[:len(count)] += count
         count, size = more, size + len(ids)
-        yield table_rows(LOCAL, len(sizes), g=task << 24 | blocks, kind=DOCS, at=0, doc_id=batch.column(1), held=batch.column(2), ids=lists(ids, sizes, pa.int32()))
+        yield table_rows(LOCAL, 1, g=task << 24 | blocks, kind=DOCS, at=0, doc_ids=one_list(batch.column(1)), held=one_list(batch.column(2)),
+                         sizes=one_list(sizes.astype(np.int64)), ids=[packed_words(ids)])
         if size >= block:
             yield from vocabulary()
             known, number, count, size, blocks = known[:0], number[:0], count[:0], 0, blocks + 1
@@ -201,9 +220,11 @@ def localised(batches: Iterator[pa.RecordBatch], block: int = BLOCK) -> Iterator
 
 
 # ---------------------------------------------- blocks: global numbers, questions
-GLOBAL = pa.schema([("g", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("known", pa.int64()), ("base", pa.float64()),
-                    ("ids", pa.list_(pa.int32())), ("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
-GLOBAL_SQL = "g long, kind int, doc_id long, held boolean, known long, base double, ids array<int>, bucket long, keys binary, counts binary"
+GLOBAL = pa.schema([("g", pa.int64()), ("kind", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())),
+                    ("known", pa.list_(pa.int64())), ("base", pa.list_(pa.float64())), ("ids", pa.binary()), ("bucket", pa.int64()), ("keys", pa.binary()),
+                    ("counts", pa.binary())])
+GLOBAL_SQL = ("g long, kind int, doc_ids array<long>, held array<boolean>, sizes array<long>, known array<long>, base array<double>, ids binary, bucket long, "
+              "keys binary, counts binary")
 
 
 def by_block(batches: Iterator[pa.RecordBatch], starts: Callable, row: Callable, ends: Callable) -> Iterator[pa.RecordBatch]:
@@ -240,15 +261,16 @@ def asked_in_blocks(model) -> Callable:
                 state["words"].append(part.column(3).to_numpy(zero_copy_only=False))
                 return
             if state["table"] is None:
-                state["table"] = np.concatenate(state["words"]).astype(np.int64)
-            ids = state["table"][part.column(6).flatten().to_numpy(zero_copy_only=False)]
-            sizes = part.column(6).value_lengths().to_numpy(zero_copy_only=False)
-            at = np.cumsum(sizes) - sizes
-            base = np.add.reduceat(np.log10(m.count(ids) + 0.1) - log_base, at)
-            for name, value in (("ids", ids), ("sizes", sizes), ("held", part.column(5).to_numpy(zero_copy_only=False))):
-                state[name].append(value)
-            yield table_rows(GLOBAL, len(sizes), g=state["g"], kind=DOCS, doc_id=part.column(4), held=part.column(5), base=base,
-                             known=np.add.reduceat((ids >= 0).astype(np.int64), at), ids=lists(ids, sizes, pa.int32()))
+                state["table"] = np.concatenate(state["words"]).astype(np.int32)
+            for i in range(part.num_rows):
+                doc_ids, held, sizes = (part.column(c)[i].values for c in (4, 5, 6))
+                ids, counts = state["table"][unpacked_words(part.column(7)[i].as_py())], sizes.to_numpy()
+                at = np.cumsum(counts) - counts
+                base = np.add.reduceat(np.log10(m.count(ids) + 0.1) - log_base, at)
+                for name, value in (("ids", ids), ("sizes", counts), ("held", held.to_numpy(zero_copy_only=False))):
+                    state[name].append(value)
+                yield table_rows(GLOBAL, 1, g=state["g"], kind=DOCS, doc_ids=one_list(doc_ids), held=one_list(held), sizes=one_list(sizes),
+                                 base=one_list(base), known=one_list(np.add.reduceat((ids >= 0).astype(np.int64), at)), ids=[packed_words(ids)])
 
         def ends():
             if not state["ids"]:
@@ -347,26 +369,30 @@ def evaluated(model, lost2) -> Callable:
         def ends():
             if not state["docs"]:
                 return
-            ids = np.concatenate([p.column(9).flatten().to_numpy(zero_copy_only=False) for p in state["docs"]]).astype(np.int64)
-            sizes = np.concatenate([p.column(9).value_lengths().to_numpy(zero_copy_only=False) for p in state["docs"]])
+            ids = np.concatenate([unpacked_words(x) for p in state["docs"] for x in p.column(10).to_pylist()])
+            sizes = np.concatenate([p.column(7).flatten().to_numpy() for p in state["docs"]])
             at = np.cumsum(sizes) - sizes
             before, keys, _, where = bigrams(m, ids, at)
             counts = np.concatenate([*state["counts"], np.zeros(1, np.int64)])  # the last stands for unknown bigrams
-            count = counts[where]
-            total = np.maximum(m.context_count(np.maximum(before, 0)), 1)
-            seen = (count - lost2[np.clip(count, 1, LOW + 1) - 1]) / total
-            weight = np.ones(len(ids))
-            if state["context"]:
-                known, alpha = np.concatenate(state["context"]), np.concatenate(state["weight"])  # in order
-                place = np.minimum(np.searchsorted(known, before), len(known) - 1)
-                weight = np.where(known[place] == before, alpha[place], 1.0)
-            log = np.log10(np.where(count > 0, seen, weight * m.probability(ids)))
+            known = np.concatenate(state["context"]) if state["context"] else np.zeros(0, np.int64)  # in order
+            alpha = np.concatenate(state["weight"]) if state["context"] else np.zeros(0)
+            log = np.empty(len(ids))
+            for k in range(0, len(ids), 1 << 18):  # a step at a time, for memory
+                part = slice(k, k + (1 << 18))
+                count, context = counts[where[part]], before[part].astype(np.int64)
+                total = np.maximum(m.context_count(np.maximum(context, 0)), 1)
+                seen = (count - lost2[np.clip(count, 1, LOW + 1) - 1]) / total
+                weight = np.ones(len(count))
+                if len(known):
+                    place = np.minimum(np.searchsorted(known, context), len(known) - 1)
+                    weight = np.where(known[place] == context, alpha[place], 1.0)
+                log[part] = np.log10(np.where(count > 0, seen, weight * m.probability(ids[part].astype(np.int64))))
             score, first = np.add.reduceat(log, at), 0
             for p in state["docs"]:
-                part = slice(first, first + p.num_rows)
-                yield pa.RecordBatch.from_arrays([p.column(5), p.column(6), pa.array(sizes[part].astype(np.int64)), p.column(7), p.column(8),
-                                                  pa.array(score[part])], schema=schema)
-                first += p.num_rows
+                doc_ids, held, n, known, base = (p.column(c).flatten() for c in (5, 6, 7, 8, 9))
+                part = slice(first, first + len(n))
+                yield pa.RecordBatch.from_arrays([doc_ids, held, n, known, base, pa.array(score[part])], schema=schema)
+                first += len(n)
         return by_block(batches, starts, row, ends)
     return run
 
@@ -399,22 +425,23 @@ def train(docs: DataFrame, folds: int = 10, block: int = BLOCK, bucket: int = BU
     local = stored(rows.mapInArrow(lambda b: localised(b, block), LOCAL_SQL), "local", "zstd")
     found = local.where(F.col("kind") == MAPPED).select("g", "at", F.posexplode(F.arrays_zip("hashes", "counts")).alias("i", "r"))
     found = found.select("g", (F.col("at") + F.col("i")).alias("at"), F.col("r.hashes").alias("hash"), F.col("r.counts").alias("n"))
-    words = stored(found.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 0").withColumn("falling", -F.col("n")), "counted")
-    words = numbered(words, ["falling", "hash"], "word", "words").select("hash", "word", "n")
+    counted = stored(found.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 0").withColumn("falling", -F.col("n")), "counted")
+    words = numbered(counted, ["falling", "hash"], "word", "words").select("hash", "word", "n")
+    forget(counted)
     steps = words.groupBy("n").agg(F.min("word").alias("first"), F.count("*").alias("types")).orderBy("first").collect()  # sqrt(2 N) rows at most
     total, distinct = sum(r.n * r.types for r in steps), sum(r.types for r in steps)
     if distinct > 2 ** 31 - 3:
         raise ValueError("more distinct words than 32-bit numbers")
-    documents = local.where((F.col("kind") == DOCS) & ~F.col("held")).count()
+    documents = local.where(F.col("kind") == DOCS).agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     model = Unigrams(total, documents, distinct, np.array([r.first for r in steps], np.int64), np.array([r.n for r in steps], np.int64),
                      max(1, -(-total // bucket)))
     shared = spark.sparkContext.broadcast(model)
 
     none = F.lit(None)
     mapped = found.join(words.select("hash", "word"), "hash", "left").select(
-        "g", F.lit(MAPPED).alias("kind"), "at", F.coalesce("word", F.lit(-1)).cast("long").alias("word"), none.cast("long").alias("doc_id"),
-        none.cast("boolean").alias("held"), none.cast("array<int>").alias("ids"))
-    texts = local.where(F.col("kind") == DOCS).select("g", "kind", "at", none.cast("long").alias("word"), "doc_id", "held", "ids")
+        "g", F.lit(MAPPED).alias("kind"), "at", F.coalesce("word", F.lit(-1)).cast("long").alias("word"), none.cast("array<long>").alias("doc_ids"),
+        none.cast("array<boolean>").alias("held"), none.cast("array<long>").alias("sizes"), none.cast("binary").alias("ids"))
+    texts = local.where(F.col("kind") == DOCS).select("g", "kind", "at", none.cast("long").alias("word"), "doc_ids", "held", "sizes", "ids")
     rows = mapped.union(texts).repartition("g").sortWithinPartitions("g", "kind", "at")
     blocks = stored(rows.mapInArrow(asked_in_blocks(shared), GLOBAL_SQL), "blocks", "zstd")
     forget(local)
@@ -438,7 +465,8 @@ def scores(model: Katz) -> DataFrame:
     none = F.lit(None)
 
     def rows(kind: int, source: DataFrame, **columns: Column) -> DataFrame:
-        kinds = {"at": "long", "counts": "binary", "weight": "double", "doc_id": "long", "held": "boolean", "known": "long", "base": "double", "ids": "array<int>"}
+        kinds = {"at": "long", "counts": "binary", "weight": "double", "doc_ids": "array<long>", "held": "array<boolean>", "sizes": "array<long>",
+                 "known": "array<long>", "base": "array<double>", "ids": "binary"}
         return source.select("g", F.lit(kind).alias("kind"), *(columns.get(c, none).cast(t).alias(c) for c, t in kinds.items()))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -452,7 +480,7 @@ def scores(model: Katz) -> DataFrame:
     docs = model.blocks.where(F.col("kind") == DOCS)
     every = rows(ANSWERS, model.merged.where("kind = 'answer'"), at=F.col("bucket"), counts=F.col("counts"))
     every = every.union(rows(WEIGHTS, weights, at=F.col("context"), weight=F.col("weight")))
-    every = every.union(rows(WEIGHTS + 1, docs, doc_id=F.col("doc_id"), held=F.col("held"), known=F.col("known"), base=F.col("base"), ids=F.col("ids")))
+    every = every.union(rows(WEIGHTS + 1, docs, **{c: F.col(c) for c in ("doc_ids", "held", "sizes", "known", "base", "ids")}))
     every = every.repartition("g").sortWithinPartitions("g", "kind", "at")
     out = every.mapInArrow(evaluated(model.shared, model.lost), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.unigrams.total).cast("long").alias("train_tokens"), "base_score", "score")
