@@ -66,5 +66,34 @@ def test_reach_is_exact():
         assert abs(sum(a * b for a, b in zip(sizes, take)) - goal) == min(abs(x - goal) for x in sums)
 
 
+def best_gap(sizes, counts, budget):
+    sums = {0}
+    for size, n in zip(sizes, counts):
+        sums = {x + k * size for x in sums for k in range(n + 1)}
+    return min(abs(x - budget) for x in sums)
+
+
+def test_few_long_documents_at_every_scale():
+    """The same shape is fitted as well at any size: no switch, an error of units only."""
+    for sizes, counts, budget in [([300_000, 700_000, 900_001], [3, 2, 2], 1_000_001), ([300_000, 700_000, 900_001], [3, 2, 2], 1_000_000),
+                                  ([70_001, 120_003, 333_333, 500_009], [4, 3, 2, 1], 1_234_567), ([5, 7, 900_000], [30, 20, 3], 1_800_111)]:
+        for times in (1, 10, 100):
+            s, b = [x * times for x in sizes], budget * times
+            take = mixing.fit(s, counts, b)
+            assert all(0 <= k <= n for k, n in zip(take, counts))
+            gap = abs(sum(x * k for x, k in zip(s, take)) - b)
+            assert gap <= best_gap(s, counts, b) + 5e-6 * b, (s, b, gap)
+
+
+def test_many_sizes_are_fitted_exactly():
+    r = random.Random(5)
+    sizes = sorted(r.sample(range(2, 40_000, 2), 3000))
+    counts = [r.randrange(1, 9) for _ in sizes]
+    total = sum(a * b for a, b in zip(sizes, counts))
+    for budget in (total // 3, total // 2 + 1, 1_000_001, 12):
+        take = mixing.fit(sizes, counts, budget)
+        assert all(0 <= k <= n for k, n in zip(take, counts)) and abs(sum(a * b for a, b in zip(sizes, take)) - budget) == budget % 2
+
+
 def test_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], "doc_id long, text string, source string")).collect() == []
