@@ -6,7 +6,8 @@ largest and the mean of each feature are combined into one probability that a re
 
 The filters, vectors and weights are fitted by Adam on a bounded sample of labelled rows: at most `per_class` rows per label, in hash
 order, weighted back to the counts over all labelled rows. Equal texts of an id count once. Every chunk of a sampled text is learned
-from; should the texts of a label exceed `most_bytes`, whole rows are left out in the order of a hash of id and text.
+from; should the texts of a label exceed `most_bytes`, rows that don't fit any more, in the order of a hash of id and text, are left out whole; a label
+of which no row fits is an error.
 Scoring has no bound: it runs inside the tasks over every chunk of every text.
 
 Defined cases: null and empty texts are one chunk of padding and get a score; labels without a text or quality are not
@@ -133,15 +134,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, shape: Shape, per_class: i
     rows = rows.select(F.col("doc_id").cast("long"), "text", "quality").distinct()
     rows = stored(rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets))), "quality-sample")
     sizes = rows.groupBy("quality", "bucket").agg(F.sum(F.length("text")).alias("bytes")).collect()  # 2 x buckets rows at most
-    fits, total = F.lit(False), {0: 0, 1: 0}
+    fits = F.lit(False)
     for q in (0, 1):
-        end = 0
+        total, taken = 0, []
         for r in sorted((r for r in sizes if r["quality"] == q), key=lambda r: r["bucket"]):
-            total[q] += r["bytes"]
-            if total[q] > most_bytes:
-                break
-            end = r["bucket"] + 1
-        fits = fits | ((F.col("quality") == q) & (F.col("bucket") < end))
+            if total + r["bytes"] <= most_bytes:  # one that doesn't fit is left out, those after it may fit
+                total += r["bytes"]
+                taken.append(r["bucket"])
+        if not taken and any(r["quality"] == q for r in sizes):
+            raise ValueError(f"no labelled text of quality {q} fits into most_bytes = {most_bytes}")
+        fits = fits | ((F.col("quality") == q) & F.col("bucket").isin(taken))
     rows = sorted(rows.where(fits).collect(), key=lambda r: (r["doc_id"], r["quality"], bytes(r["text"])))
     have = {q: sum(r["quality"] == q for r in rows) for q in (0, 1)}
     return [(chunks_of(bytes(r["text"]), shape), r["quality"], counts[r["quality"]] / have[r["quality"]]) for r in rows], counts

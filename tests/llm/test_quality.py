@@ -1,3 +1,5 @@
+import pytest
+import math
 import zlib
 
 import numpy as np
@@ -66,3 +68,44 @@ def test_odd_rows(spark):
         kept = quality.keep_good(docs, labels)
         assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in rows)
     assert quality.classify(docs.limit(0), both).collect() == []
+
+
+def test_score_equals_a_naive_convolution():
+    """Every filter at every place of every chunk, one product at a time."""
+    shape = quality.Shape(chunk=24, overlap=6, width=5, stride=2, vector=3, filters=4)
+    net = quality.Network(shape, 3, 0.2)
+    rng = np.random.default_rng(1)
+    net.p["weights"] = rng.normal(0, 1, 8).astype(np.float32)
+    net.p["shift"] = rng.normal(0, 1, 4).astype(np.float32)
+    texts = [b"", b"a", b"some short text", bytes(range(256)), "é ü\n".encode() * 40]
+    for text, got in zip(texts, net.score(texts)):
+        step, chunks, at = shape.chunk - shape.overlap, [], 0
+        while True:
+            chunks.append(text[at:at + shape.chunk].ljust(shape.chunk, b"\0"))
+            if at + shape.chunk >= len(text):
+                break
+            at += step
+        features = []
+        for c in chunks:
+            row = []
+            for f in range(shape.filters):
+                best = max(sum(float(net.p["vectors"][c[i + w]][v]) * float(net.p["filters"][w * shape.vector + v, f])
+                               for w in range(shape.width) for v in range(shape.vector)) for i in range(0, shape.chunk - shape.width + 1, shape.stride))
+                row.append(math.tanh(best + float(net.p["shift"][f])))
+            features.append(row)
+        both = [max(col) for col in zip(*features)] + [sum(col) / len(col) for col in zip(*features)]
+        logit = sum(a * float(b) for a, b in zip(both, net.p["weights"])) + float(net.p["bias"][0])
+        assert abs(got - 1 / (1 + math.exp(-logit))) < 1e-5
+
+
+def test_rows_that_do_not_fit_are_skipped(spark):
+    """A long row leaves the others of its label in the sample; a label that doesn't fit at all is an error."""
+    rows = [(i, ("good words here " if i % 2 else "zzz qqq xxx ") * 5) for i in range(1, 120)] + [(500 + i, "x" * 5000) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    sample, counts = quality.training_rows(docs, labels, quality.Shape(), 500, 2000)
+    assert {q for _, q, _ in sample} == {0, 1} and counts[0] > 0 and counts[1] > 0
+    scores = {round(r.score, 3) for r in quality.classify(docs, labels, most_bytes=2000).collect()}
+    assert len(scores) > 1
+    with pytest.raises(ValueError, match="no labelled text"):
+        quality.training_rows(docs, labels, quality.Shape(), 500, 10)
