@@ -150,7 +150,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFr
     bad = contamination(docs, items, length).where("contaminated").select(
         F.col("doc_id").alias("_bad_doc"), F.col("th").alias("_bad_th")).distinct()
     same = [F.xxhash64(text_of()) == F.col("_bad_th"), F.col("doc_id").eqNullSafe(F.col("_bad_doc"))]
-    return docs.join(bad, same, "left_anti")
+    return docs.select(F.struct("*").alias("row"), "doc_id", "text").join(bad, same, "left_anti").select("row.*")
 
 
 def digest(rows: DataFrame) -> DataFrame:

@@ -236,6 +236,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, max
                 task_lines: int = 5_000_000, report: str | None = None) -> DataFrame:
     """docs with the repeated lines gone from `text`; `report` names a further column, struct<n_lines, n_dropped>."""
     arrays, shards = build_shards(repeated_lines(docs, least_chars, least_docs), per_shard)
+    names = docs.columns
+    docs = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), "doc_id", "text")  # names of the input can't clash
     size = arrays.agg(F.sum(F.octet_length("fingerprints") + F.octet_length("counts") + F.octet_length("keepers")
                             + F.aggregate("levels", F.lit(0), lambda a, x: a + F.octet_length(x)))).first()[0]
     if size is None:
@@ -250,7 +252,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, max
     counts = F.struct(F.size(lines).cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"))
     out = masked.withColumn("_counts", counts).withColumn("_text", F.when(dropped > 0, kept).otherwise(F.col("text")))
     extra = [F.col("_counts").alias(report)] if report else []
-    return out.select(*(F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns if c != report), *extra)
+    return out.select(*((F.col("_text") if c == "text" else F.col("row")[c]).alias(c) for c in names if c != report), *extra)
 
 
 def digest(rows: DataFrame) -> DataFrame:

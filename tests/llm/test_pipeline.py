@@ -49,3 +49,19 @@ def test_odd_tables_pass_through(spark, tmp_path):
         out = corpus_pipeline.run(spark, folder).collect()
         # the empty texts are copies of each other; the smallest id is the null one
         assert sorted((r.doc_id for r in out), key=str) == ([2, None] if name == "all" else [])
+
+
+def test_internal_names_as_input_columns(spark):
+    """Columns named as the stages' own stay as they were."""
+    names = ["_drop", "_counts", "_text", "_gone", "_gone_id", "_gone_th", "_bad_th", "_bad_doc", "_before", "report", "report_", "row", "node", "comp",
+             "score", "slot", "bucket", "words", "hub", "th", "size", "source_size", "n", "h", "copies", "term", "pos", "item"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    plain, wide = docs, docs.selectExpr("*", *(f"concat('{n} of ', doc_id) AS `{n}`" for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        plain, wide = stage(spark, plain, FOLDER).cache(), stage(spark, wide, FOLDER).cache()
+        if name == "mixing":
+            assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, wide.collect()), key=str)
+            break
+        assert wide.columns == plain.columns + names
+        assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, wide.select(plain.columns).collect()), key=str)
+        assert all(r[n] == f"{n} of {r.doc_id}" for r in wide.collect() for n in names)
