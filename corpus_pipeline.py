@@ -28,12 +28,15 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = linededup.dedup_lines(docs.withColumn("_before", F.length("text")))
-    changed = F.col("_before") != F.length("text")
+    report = "report"
+    while report in docs.columns:
+        report += "_"
+    rows = linededup.dedup_lines(docs, report=report)
+    changed = F.col(report)["n_dropped"] > 0
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         rows = rows.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.drop("_before")
+    return rows.drop(report)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
