@@ -1053,8 +1053,7 @@ concept_sql("c8", "coalesce(nullif(claim_text, ''), nullif(concept_id, ''))")
 sql("Q7_CONCEPT_TO_ROOT_SEARCH", """SELECT q.request_id, h.entry_id IS NOT NULL AS found, CASE WHEN q.concept IS NULL THEN 'MISSING_PARAM' WHEN h.entry_id IS NULL THEN 'NOT_FOUND' ELSE 'OK' END AS query_status,
   h.entry_id, h.match_type, h.matched_axis FROM c7_asks q LEFT JOIN c7_hits h USING (request_id)""")
 sql("Q8_SEMANTIC_REVERSE_SEARCH", """SELECT q.request_id, h.entry_id IS NOT NULL AS found, h.entry_id, h.match_type FROM c8_asks q LEFT JOIN c8_hits h USING (request_id)""")
-sql("Q26_find_roots_by_concept", """SELECT request_id, entry_id, match_type, matched_axis FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY
-  match_type = 'ROOT_SEMANTICALLY_SIMILAR', entry_id) AS k FROM c7_hits) WHERE k <= 20""")
+sql("Q26_find_roots_by_concept", "SELECT request_id, entry_id, match_type, matched_axis FROM c7_hits")
 cte("c26_axis", """SELECT q.request_id, x.entry_id, arg_min(x.axis_text, x.axis_num) AS matched_axis FROM c7_asks q JOIN axis_rows x ON
   contains(x.axis_text, q.concept) OR (q.nc <> '' AND contains(x.axis_text, q.nc)) GROUP BY q.request_id, x.entry_id""")
 sql("Q26_find_roots_by_concept_all", """SELECT request_id, entry_id, 'ROOT_EXPLICITLY_LINKED_BY_IBN_FARIS' AS match_type, matched_axis FROM c26_axis UNION ALL
