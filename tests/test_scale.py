@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rootloom import session
-from rootloom.operators import origins, star
+from rootloom.operators import evidence, governed, origins, star
 from rootloom.plans import matching, requests as rq
 from rootloom.plans.bindings import Tables
 from rootloom.rules import latin
@@ -87,6 +87,39 @@ def test_cycle_check_equals_brute_force(spark, seed):
     assert {tuple(r) for r in origins.cycle_check(df).collect()} == left
 
 
+@pytest.mark.parametrize("closed", (False, True))
+def test_cycle_check_takes_few_rounds_for_long_chains(spark, monkeypatch, closed):
+    """A chain of 1500 edges with a tree hanging on it: rounds follow its logarithm."""
+    rounds, held = [], origins.held
+    monkeypatch.setattr(origins, "held", lambda df: rounds.append(1) or held(df))
+    chain = [(i, i + 1) for i in range(1500)] + ([(1500, 0)] if closed else [])
+    tree = [(i // 2 + 10_000, i + 10_000) for i in range(1, 200)] + [(700, 10_000), (20_000, 3)]
+    df = spark.createDataFrame(chain + tree, "src int, dst int")
+    assert {tuple(r) for r in origins.cycle_check(df).collect()} == (set(chain) if closed else set())
+    assert len(rounds) < 150
+
+
+def test_reference_cycles_block_entries(spark):
+    edges = spark.createDataFrame([("e1", "a", "b"), ("e2", "b", "a"), ("e3", "b", "c"), ("e4", "d", "d"), ("e5", "a", "b")],
+                                  "entry_id string, src string, dst string")
+    conflicts = origins.entry_conflicts(edges)
+    assert {(r.entry_id, r.residual) for r in conflicts.collect()} == {(e, "INTER_ENTRY_CONFLICT") for e in ("e1", "e2", "e4", "e5")}
+    bundles = spark.createDataFrame([("e1", ["X"], True), ("e3", ["X"], True), ("e9", [], False)],
+                                    "entry_id string, residuals array<string>, ontology_buildable boolean")
+    got = {r.entry_id: (r.residuals, r.ontology_buildable) for r in evidence.with_conflicts(bundles, conflicts).collect()}
+    assert got == {"e1": (["X", "INTER_ENTRY_CONFLICT"], False), "e3": (["X"], True), "e9": ([], False)}
+
+
+def test_latest_counting_certificate_decides(spark):
+    """Certificates fold in order of time; a machine can't grant what takes a human."""
+    rows = [("c1", 1, "k1", "IDENTITY_VERIFIED", "HUMAN_REVIEWER"), ("c1", 5, "k2", "TEXT_VERIFIED", "HUMAN_REVIEWER"), ("c1", 9, "k3", "LEXICALLY_REVIEWED", "MACHINE_ONLY"),
+            ("c2", 2, "k4", "LEXICALLY_REVIEWED", "HUMAN_REVIEWER"), ("c2", 2, "k5", "IDENTITY_CANDIDATE", "MACHINE_ONLY"), ("c3", 1, "k6", "TEXT_VERIFIED", "MACHINE_ONLY")]
+    df = spark.createDataFrame(rows, "target_id string, at int, certificate_id string, granted_state string, reviewer_type string")
+    df = df.withColumn("reviewed_at", F.timestamp_seconds("at"))
+    got = {r.target_id: (r.reviewed_state, r.certificate_id, r.by_human) for r in governed.review_outcomes(df).collect()}
+    assert got == {"c1": ("TEXT_VERIFIED", "k2", True), "c2": ("IDENTITY_CANDIDATE", "k5", False)}
+
+
 def test_concept_search_equals_brute_force(spark):
     texts = ["abcd ef", "xabc", "ab", "zzz", "cd", "a.c d", "éab"]
     rows = [(i, i, f"r{i}", f"R{i}", t, [(1, t[:3], "IBN_FARIS_DIRECT")]) for i, t in enumerate(texts)]
