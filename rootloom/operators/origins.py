@@ -10,7 +10,7 @@ from rootloom.functions import first_label, first_text, normalize, normalize_roo
 from rootloom.operators.claimgraph import edge, node_id
 from rootloom.rules import vocab as V
 from rootloom.rules.model import DiscoursePack, Profile
-from rootloom.session import held
+from rootloom.session import settled as held
 
 GLOSS = 200
 
@@ -138,7 +138,7 @@ def cycle_check(edges: DataFrame, source: str = "src", target: str = "dst") -> D
     and chains of any length end after a number of rounds logarithmic in their size; a chain that closes on itself is a cycle.
     What can't be shrunk further is cut into its strongly connected parts. ``kept`` says which edge of the shrunken graph
     stands for an edge of the input; an edge lies on a cycle if and only if the one that stands for it does. Rounds are
-    checkpointed, so a lost executor never replays the loop.
+    written to the checkpoint folder, so a lost executor never replays the loop.
     """
     given = edges.select(F.col(source).alias("src"), F.col(target).alias("dst")).where(
         F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct().withColumn("edge", F.monotonically_increasing_id())
