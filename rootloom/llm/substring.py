@@ -196,28 +196,27 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, period: int = PERIOD
     own_key = F.col("b1").bitwiseXOR(F.shiftleft("lo", shift)).alias("a")
     owned = context.broadcast(build_filter(first.select(own_key), bits))
 
-    def windows(batches: Iterator) -> Iterator:
-        for batch in (part for whole in batches for part in slices(whole, 2, 1 << 17)):
-            c = Candidates(batch, anchors.value, bits, length, period, cover, every)
-            ids = c.ids.astype(np.int64).view(np.uint64)[c.owner[c.i]]
-            gone = ~held(owned.value, c.b1 ^ (ids << np.uint64(shift)), bits)  # surely blocks of a smaller id
-            left = np.flatnonzero(c.chosen & ~spans(c.i[gone], c.j[gone] + 1, len(c.chosen)))
-            own = c.owner[left]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c.w1[left].view(np.int64)), half(c.w2[left]), pa.array(c.ids[own]), pa.array(c.tags[own]),
-                 pa.array(c.pos[left].astype(np.int32))], ["w1", "w2", "id", "tag", "pos"])
+    def windows(known=None):
+        """The windows that compare, of a known filter's only; one Python worker a task finds and filters them."""
+        def run(batches: Iterator) -> Iterator:
+            for batch in (part for whole in batches for part in slices(whole, 2, 1 << 17)):
+                c = Candidates(batch, anchors.value, bits, length, period, cover, every)
+                ids = c.ids.astype(np.int64).view(np.uint64)[c.owner[c.i]]
+                gone = ~held(owned.value, c.b1 ^ (ids << np.uint64(shift)), bits)  # surely blocks of a smaller id
+                left = np.flatnonzero(c.chosen & ~spans(c.i[gone], c.j[gone] + 1, len(c.chosen)))
+                if known is not None:
+                    left = left[held(known.value, c.w1[left], bits)]
+                own = c.owner[left]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.w1[left].view(np.int64)), half(c.w2[left]), pa.array(c.ids[own]), pa.array(c.tags[own]),
+                     pa.array(c.pos[left].astype(np.int32))], ["w1", "w2", "id", "tag", "pos"])
+        return run
 
     schema = "w1 long, w2 int, id long, tag int, pos int"
-    left = rows.mapInArrow(windows, schema)
-    lowest = left.groupBy("w1", "w2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    lowest = rows.mapInArrow(windows(), schema).groupBy("w1", "w2").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     lowest = stored(lowest.select("w1", "w2", "lo"), "windows")
     known = context.broadcast(build_filter(lowest.select(F.col("w1").alias("a")), bits))
-
-    def shared(batches: Iterator) -> Iterator:
-        for batch in batches:
-            yield batch.filter(pa.array(held(known.value, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits)))
-
-    met = left.mapInArrow(shared, schema).join(lowest, ["w1", "w2"]).where(F.col("id") > F.col("lo"))
+    met = rows.mapInArrow(windows(known), schema).join(lowest, ["w1", "w2"]).where(F.col("id") > F.col("lo"))
     single = met.select("id", "tag", F.col("pos").alias("a"), F.col("pos").alias("b"))
     return whole.union(single)
 
