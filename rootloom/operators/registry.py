@@ -33,7 +33,7 @@ def merge_roots(entries: DataFrame, chapter_names: Mapping[str, str], missing: S
                      F.col("origin_count").alias("count"))
     corrected = F.struct(
         "line_no", F.col("corrected_bab_letter").alias("chapter"),
-        F.coalesce("original_bab_letter", "bab_letter", F.lit("")).alias("original"),
+        strip_ws(F.coalesce("original_bab_letter", "bab_letter", F.lit(""))).alias("original"),
         F.coalesce("correction_version", F.lit("v1")).alias("version"))
 
     def first(name: str, cond: Column, value: Column) -> Column:
