@@ -32,3 +32,12 @@ def test_blanks_around_a_stored_chapter_are_no_change(spark):
     assert [r.original_bab_letter for r in out.orderBy("line_no").collect()] == [" letter a ", "letter b", "letter ", None]
     report = chapters.correction_report(out).first()
     assert (report.bab_changed, report.bab_already_correct, report.no_root_letters) == (2, 1, 1)
+
+
+def test_no_text_is_joined(spark):
+    """What is read from a text is read before labels are joined, so a shuffle moves no texts."""
+    from rootloom.plans.catalog import QUERIES
+    node = QUERIES["E1_correct_chapter"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    assert "text" not in node.children().head().output().mkString(" ")
